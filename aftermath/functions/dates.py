@@ -67,3 +67,28 @@ def calendar_parts(df: DataFrame, date: str, prefix: str = "declaration") -> Dat
     year, month, quarter = (f"{prefix}_{part}" for part in ("year", "month", "quarter"))
     dated = df.withColumns({year: F.year(date), month: F.month(date), quarter: F.quarter(date)})
     return on_circle(on_circle(dated, month, 12), quarter, 4)
+
+
+def day_blocks(df: DataFrame, first: str, last: str, top: int) -> DataFrame:
+    """Cover the days ``first`` to ``last`` with aligned blocks of 1, 2, 4 ... 2^top days.
+
+    One row per block, as ``_level`` and ``_block`` (day number divided by the
+    block length). A span needs about two blocks per level and one per full top
+    block, instead of one row per day.
+    """
+    begin, stop = day_number(F.col(first)), day_number(F.col(last)) + 1
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    leveled = df.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumns(
+        {"_from": F.ceil(begin / size).cast("int"), "_to": F.floor(stop / size).cast("int")}
+    )
+    low, high = F.col("_from"), F.col("_to")
+    edges = F.array_compact(F.array(F.when(low % 2 != 0, low), F.when(high % 2 != 0, high - 1)))
+    blocks = F.when(F.col("_level") == top, F.sequence(low, high - 1)).otherwise(edges)
+    return leveled.where(low < high).withColumn("_block", F.explode(blocks)).drop("_from", "_to")
+
+
+def in_blocks(df: DataFrame, day: str, top: int) -> DataFrame:
+    """One row per level for each day, with the block of that level it lies in."""
+    leveled = df.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(top))))
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    return leveled.withColumn("_block", F.floor(day_number(F.col(day)) / size).cast("int"))

@@ -10,18 +10,17 @@ def tidy(value: Column) -> Column:
 
 def zero_pad(value: Column, width: int) -> Column:
     """Left-pad with zeros; longer text is kept whole (``lpad`` alone would cut it)."""
-    return F.when(F.length(value) < width, F.lpad(value, width, "0")).otherwise(value)
+    return F.lpad(value, F.greatest(F.length(value), F.lit(width)), "0")
 
 
-def code_text(value: Column) -> Column:
-    """A whole-number code, given as number or text, as plain digits; else null."""
-    number = value.try_cast("string").try_cast("double")
-    return F.when(number == F.floor(number), F.floor(number).try_cast("string"))
+def code_digits(value: Column) -> Column:
+    """Digits of a whole-number code given as number or text (``7``, ``007``, ``7.0``); else null."""
+    return F.nullif(F.regexp_extract(value.cast("string"), r"^\s*0*(\d+?)(\.0*)?\s*$", 1), F.lit(""))
 
 
 def place_key(state: Column, county: Column) -> Column:
     """Two-digit state code followed by three-digit county code; null if either is."""
-    return F.concat(zero_pad(code_text(state), 2), zero_pad(code_text(county), 3))
+    return F.concat(zero_pad(code_digits(state), 2), zero_pad(code_digits(county), 3))
 
 
 def slug(label: str) -> str:

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aftermath.functions.dates import day_number
+from aftermath.functions.dates import day_blocks, day_number, in_blocks
 
 # Which magnitudes are wind speeds and which events are floods.
 WIND_MAGNITUDES = ("EG", "ES", "MG", "MS")
@@ -12,6 +12,9 @@ FLOOD_EVENTS = ("Flood", "Flash Flood", "Coastal Flood", "Lakeshore Flood")
 BUFFER_DAYS = 3
 LOW_MATCH_PERCENT = 30.0
 
+# Largest block of days used to cover a window: 2^5 = 32.
+TOP_BLOCK = 5
+
 
 def with_window(df: DataFrame, begin: str, end: str, days: int = BUFFER_DAYS) -> DataFrame:
     """Add the match window: begin and end (or begin, if open) widened by ``days``."""
@@ -183,9 +186,10 @@ def rain_exposure(
     """Highest daily rainfall in the incident's state and window, per disaster.
 
     A day counts from its midnight: a window that starts later in the day leaves
-    that day out. The distinct windows of a state are unrolled to days and meet
-    the daily maxima on (state, day), an equality join that no single state can
-    dominate.
+    that day out. The distinct windows of a state are covered by blocks of days
+    and meet the blocks' maxima by equality. The number of blocks and of distinct
+    windows depends on the calendar, not on how many readings or declarations a
+    state has, and a busy state is spread over its blocks.
     """
     start = F.col("window_start")
     spans = (
@@ -203,11 +207,16 @@ def rain_exposure(
         .where("_first <= _last")
         .distinct()
     )
-    unrolled = spans.select(state, "_first", "_last").distinct().withColumn(
-        day, F.explode(F.sequence("_first", "_last"))
+    maxima = (
+        in_blocks(daily.select(state, day, value), day, TOP_BLOCK)
+        .groupBy(state, "_level", "_block")
+        .agg(F.max(value).alias(value))
     )
     per_window = (
-        unrolled.join(daily, [state, day]).groupBy(state, "_first", "_last").agg(F.max(value).alias("_rain"))
+        day_blocks(spans.select(state, "_first", "_last").distinct(), "_first", "_last", TOP_BLOCK)
+        .join(maxima, [state, "_level", "_block"])
+        .groupBy(state, "_first", "_last")
+        .agg(F.max(value).alias("_rain"))
     )
     return (
         spans.join(per_window, [state, "_first", "_last"])

@@ -74,7 +74,9 @@ def classify(
     """
     shared = [c for c in incoming.columns if c in existing.columns and c not in keys]
     fresh = keep_latest(incoming, keys, cursor).alias("i")
-    stored = existing.withColumn("_stored", F.lit(True)).alias("e")
+    # Only stored rows of incoming keys are of interest. The semi join lets Spark
+    # broadcast the keys of a small batch instead of shuffling the stored table.
+    stored = known_rows(existing, incoming, keys).withColumn("_stored", F.lit(True)).alias("e")
     on = F.lit(True)
     for key in keys:
         on = on & (F.col(f"i.{key}") == F.col(f"e.{key}"))
@@ -96,12 +98,18 @@ def same_records(left: DataFrame, right: DataFrame) -> bool:
     return tagged.groupBy(*columns).agg(F.sum("_side").alias("_d")).where("_d <> 0").isEmpty()
 
 
-def known_rows(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return incoming.join(existing.select(*keys), list(keys), "left_semi")
+def known_rows(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key occurs in ``others``.
+
+    The keys are made distinct first: a key that fills a third of ``others``
+    is one row in the join then.
+    """
+    return rows.join(others.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def new_rows(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return incoming.join(existing.select(*keys), list(keys), "left_anti")
+def new_rows(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key does not occur in ``others``."""
+    return rows.join(others.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def key_sets(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

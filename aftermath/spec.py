@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 @dataclass(frozen=True)
@@ -74,7 +74,12 @@ def dataset(name: str) -> DatasetSpec:
 
 
 def conform(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Project ``df`` onto the dataset's columns and types.
+    """Project ``df`` onto the dataset's columns and types."""
+    return df.select(*conform_columns(df, spec))
+
+
+def conform_columns(df: DataFrame, spec: DatasetSpec) -> list[Column]:
+    """The dataset's columns as expressions over ``df``.
 
     Columns are found by trimmed, case-insensitive name; absent ones become
     null, values that do not parse become null, and NaN becomes null so that
@@ -91,7 +96,7 @@ def conform(df: DataFrame, spec: DatasetSpec) -> DataFrame:
             if isinstance(target.dataType, T.DoubleType):
                 column = F.nanvl(column, F.lit(None).cast("double"))
         columns.append(column.alias(target.name))
-    return df.select(*columns)
+    return columns
 
 
 def lower_names(df: DataFrame) -> DataFrame:

@@ -6,8 +6,6 @@ written independently for the comparison engine.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from aftermath.functions import text
-
 # One postal code per nation; two are territories outside the census regions.
 STATES = (
     "AK AL AZ CA CO FL GA IA IL KS LA MA ME MN MO NC NJ NY OH PR TX VT WA WV GU".split()
@@ -45,10 +43,6 @@ def sql_list(labels) -> str:
     return "[" + ", ".join("'" + label + "'" for label in labels) + "]"
 
 
-def place_of(key: Column) -> Column:
-    return text.place_key(F.floor(key / 1000), key % 1000)
-
-
 def declarations(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their customer's nation as dated declarations of a state."""
     key = F.col("o_orderkey")
@@ -70,16 +64,11 @@ def declarations(spark: SparkSession, folder: str) -> DataFrame:
             F.col("o_orderdate").alias("declarationdate"),
             begin.alias("incidentbegindate"),
             F.when(key % 7 != 0, begin + F.make_dt_interval(days=(key % 45).cast("int"))).alias("incidentenddate"),
-            place_of(F.col("o_custkey")).alias("place"),
+            F.col("o_custkey").alias("place"),
         )
     )
 
 
-PLACE_SQL = (
-    "CASE WHEN {0} // 1000 < 100 THEN lpad(CAST({0} // 1000 AS VARCHAR), 2, '0') "
-    "ELSE CAST({0} // 1000 AS VARCHAR) END || lpad(CAST({0} % 1000 AS VARCHAR), 3, '0')"
-)
-
 DECLARATIONS_SQL = f"""
 decl AS (
   SELECT o_orderkey AS id, o_orderkey AS disasternumber, o_custkey AS applicant,
@@ -90,7 +79,7 @@ decl AS (
          o_orderdate - (o_orderkey % 30) * INTERVAL 1 DAY - (o_orderkey % 24) * INTERVAL 1 HOUR AS incidentbegindate,
          CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate - (o_orderkey % 30) * INTERVAL 1 DAY
               - (o_orderkey % 24) * INTERVAL 1 HOUR + (o_orderkey % 45) * INTERVAL 1 DAY END AS incidentenddate,
-         {PLACE_SQL.format('o_custkey')} AS place
+         o_custkey AS place
   FROM orders JOIN customer ON o_custkey = c_custkey
 )"""
 
@@ -98,7 +87,7 @@ decl AS (
 def storm_events(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as storm events at a place, some windy and some floods."""
     return table(spark, folder, "lineitem").select(
-        place_of(F.col("l_partkey")).alias("place"),
+        F.col("l_partkey").alias("place"),
         (F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).alias("event_begin"),
         F.col("l_orderkey").alias("event_order"),
         F.col("l_linenumber").alias("event_line"),
@@ -108,9 +97,9 @@ def storm_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-STORM_EVENTS_SQL = f"""
+STORM_EVENTS_SQL = """
 storms AS (
-  SELECT {PLACE_SQL.format('l_partkey')} AS place, l_shipdate + l_linenumber * INTERVAL 1 HOUR AS event_begin,
+  SELECT l_partkey AS place, l_shipdate + l_linenumber * INTERVAL 1 HOUR AS event_begin,
          l_orderkey AS event_order, l_linenumber AS event_line, l_quantity AS magnitude,
          l_returnflag = 'A' AS is_wind, l_returnflag = 'R' AS is_flood
   FROM lineitem
