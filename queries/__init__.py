@@ -1,5 +1,5 @@
 """Bindings of the operators to the test tables, each with equivalent SQL."""
 
-from queries import clean, incremental, match, table_features
+from queries import clean, explore, incremental, match, table_features
 
-MODULES = (clean, match, table_features, incremental)
+MODULES = (clean, match, table_features, incremental, explore)
