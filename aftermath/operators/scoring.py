@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from aftermath.functions import dates, lookups
 from aftermath.functions.text import numeric, slug
-from aftermath.plans.features import DURATION_FEATURES, TYPE_FLAGS
+from aftermath.model_inputs import DURATION_FEATURES, TYPE_FLAGS
 
 STANDARD, EARLY = "A", "B"
 
