@@ -53,6 +53,6 @@ def statistics(spark: SparkSession, root: str, spec: DatasetSpec) -> dict:
         "rows": 0 if rows is None else rows.count(),
         "key_field": spec.key,
         "checkpoint_field": spec.cursor,
-        "mark": store.log.mark(),
+        "mark": store.mark(),
         "path": store.root,
     }

@@ -20,6 +20,15 @@ COMMIT_SCHEMA = (
 )
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """Last version, column layout (None before the first commit) and data version per bucket."""
+
+    version: int
+    layout: T.StructType | None
+    buckets: dict[int, int]
+
+
 class CommitLog:
     """Append-only record of versions, their sources and high-water marks."""
 
@@ -32,30 +41,23 @@ class CommitLog:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).json(self.path)
 
-    def last(self) -> tuple[int, T.StructType | None]:
-        row = self.rows().agg(F.max(F.struct("version", "layout")).alias("last")).head()
-        if row.last is None:
-            return 0, None
-        return row.last.version, T.StructType.fromJson(json.loads(row.last.layout))
-
-    def current(self) -> dict[int, int]:
-        """Current data version of each bucket; at most one entry per bucket."""
-        newest = self.rows().where("bucket >= 0").groupBy("bucket").agg(F.max("data_version").alias("v"))
-        return {row.bucket: row.v for row in newest.collect()}
+    def snapshot(self) -> "Snapshot":
+        """The current state from one pass; at most one row per bucket is collected."""
+        newest = (
+            self.rows()
+            .groupBy("bucket")
+            .agg(F.max("data_version").alias("data_version"), F.max(F.struct("version", "layout")).alias("last"))
+            .collect()
+        )
+        if not newest:
+            return Snapshot(0, None, {})
+        last = max((row.last for row in newest), key=lambda entry: entry.version)
+        versions = {row.bucket: row.data_version for row in newest if row.bucket >= 0}
+        return Snapshot(last.version, T.StructType.fromJson(json.loads(last.layout)), versions)
 
     def sources(self) -> DataFrame:
         return self.rows().where("source IS NOT NULL").select("source").distinct()
 
-    def mark(self) -> tuple[str, str] | None:
-        """The highest (cursor, key) any commit has recorded."""
-        row = (
-            self.rows()
-            .where("mark_time IS NOT NULL")
-            .agg(F.max(F.struct("mark_time", "mark_key")).alias("m"))
-            .head()
-        )
-        return None if row.m is None else (row.m.mark_time, row.m.mark_key)
-
     def append(self, rows: list[tuple]) -> None:
         # One file, so that the commit appears as a whole.
         self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.path)
@@ -86,19 +88,33 @@ class KeyedStore:
     def bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn("bucket", F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int"))
 
-    def read(self, only: list[int] | None = None) -> DataFrame | None:
-        """The current rows, of the given buckets only if asked; None before the first commit."""
-        _, layout = self.log.last()
-        if layout is None:
+    def read(self) -> DataFrame | None:
+        """The current rows; None before the first commit."""
+        return self._at(self.log.snapshot())
+
+    def _at(self, state: Snapshot, only: list[int] | None = None) -> DataFrame | None:
+        if state.layout is None:
             return None
         paths = [
             f"{self.root}/data/v={version}/bucket={bucket}"
-            for bucket, version in self.log.current().items()
+            for bucket, version in state.buckets.items()
             if only is None or bucket in only
         ]
         if not paths:
-            return self.spark.createDataFrame([], layout)
-        return self.spark.read.schema(layout).parquet(*paths)
+            return self.spark.createDataFrame([], state.layout)
+        return self.spark.read.schema(state.layout).parquet(*paths)
+
+    def mark(self) -> tuple[str, str] | None:
+        """The highest (cursor, key) over all committed batches, as text."""
+        layout = self.log.snapshot().layout
+        if layout is None:
+            return None
+        typed = F.struct(
+            F.col("mark_time").try_cast(layout[self.cursor].dataType).alias("t"),
+            F.col("mark_key").try_cast(layout[self.key].dataType).alias("k"),
+        )
+        row = self.log.rows().where("mark_time IS NOT NULL").agg(F.max_by(F.struct("mark_time", "mark_key"), typed).alias("m")).head()
+        return None if row.m is None else tuple(row.m)
 
     def upsert(self, incoming: DataFrame, source: str | None = None, arrival: str | None = None) -> dict:
         """Insert new keys, replace older versions, ignore identical and stale ones.
@@ -114,27 +130,37 @@ class KeyedStore:
         rows = incoming.where(F.col(self.key).isNotNull())
         if arrival is not None:
             rows = merging.keep_latest(rows, [self.key], self.cursor, [arrival]).drop(arrival)
-        version, layout = self.log.last()
-        stored = self.read(wanted)
+        state = self.log.snapshot()
+        stored = self._at(state, wanted)
         if stored is None:
             stored = self.spark.createDataFrame([], rows.schema)
         judged = durable(self.bucketed(merging.classify(stored, rows, [self.key], self.cursor)))
 
-        tally = {r.outcome: r.n for r in judged.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # At most four rows per bucket.
+        tally = (
+            judged.groupBy("bucket", "outcome")
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.max(F.struct(F.col(self.cursor).alias("t"), F.col(self.key).alias("k"))).alias("top"),
+            )
+            .select("*", F.col("top.t").cast("string").alias("time"), F.col("top.k").cast("string").alias("key"))
+            .collect()
+        )
+        kinds = (merging.NEW, merging.UPDATED, merging.UNCHANGED, merging.STALE)
         report = {
             "incoming": received,
             "without_key": sum(r.n for r in counts if r.no_key),
-            **{kind: tally.get(kind, 0) for kind in (merging.NEW, merging.UPDATED, merging.UNCHANGED, merging.STALE)},
+            **{kind: sum(r.n for r in tally if r.outcome == kind) for kind in kinds},
         }
-        report["duplicates"] = received - sum(tally.values())
+        report["duplicates"] = received - sum(r.n for r in tally)
         changed = judged.where(F.col("outcome").isin(merging.NEW, merging.UPDATED)).drop("outcome")
-        touched = [r.bucket for r in changed.select("bucket").distinct().collect()]
+        touched = sorted({r.bucket for r in tally if r.outcome in (merging.NEW, merging.UPDATED)})
         report["buckets_rewritten"] = len(touched)
-
-        top = judged.agg(F.max(F.struct(F.col(self.cursor).cast("string"), F.col(self.key).cast("string"))).alias("m")).head()
-        mark = (None, None) if top.m is None else (top.m[0], top.m[1])
+        top = max((r for r in tally if r.top.t is not None), key=lambda r: tuple(r.top), default=None)
+        mark = (None, None) if top is None else (top.time, top.key)
+        version, layout = state.version, state.layout
         if touched:
-            kept = self.read(touched)
+            kept = self._at(state, touched)
             final = changed
             if kept is not None:
                 kept = self.bucketed(kept.join(changed.select(self.key), self.key, "left_anti"))
@@ -160,7 +186,7 @@ def publish(df: DataFrame, root: str) -> int:
     """Replace a whole table: write a new version, then make it current."""
     spark = df.sparkSession
     log = CommitLog(spark, root)
-    version = log.last()[0] + 1
+    version = log.snapshot().version + 1
     df.write.mode("overwrite").option("compression", "gzip").parquet(f"{root}/data/v={version}")
     log.append([(version, 0, version, None, None, None, df.schema.json())])
     return version
@@ -168,7 +194,7 @@ def publish(df: DataFrame, root: str) -> int:
 
 def published(spark: SparkSession, root: str) -> DataFrame | None:
     """The current version of a table written by ``publish``; None if there is none."""
-    version, layout = CommitLog(spark, root).last()
-    if layout is None:
+    state = CommitLog(spark, root).snapshot()
+    if state.layout is None:
         return None
-    return spark.read.schema(layout).parquet(f"{root}/data/v={version}")
+    return spark.read.schema(state.layout).parquet(f"{root}/data/v={state.version}")
