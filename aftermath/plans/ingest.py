@@ -1,6 +1,6 @@
 """The incremental ingest job: stage pages, merge them once, keep the mark."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aftermath.operators.merging import with_arrival
 from aftermath.sources.store import KeyedStore
@@ -29,9 +29,8 @@ def merge_staged(spark: SparkSession, root: str, spec: DatasetSpec, buckets: int
     if not path_exists(spark, folder):
         return []
     store = store_of(spark, root, spec, buckets)
-    staged = spark.read.schema(
-        spec.schema.simpleString()[len("struct<"):-1] + ",run:string,page:int"
-    ).parquet(folder)
+    layout = T.StructType([*spec.schema, T.StructField("run", T.StringType()), T.StructField("page", T.IntegerType())])
+    staged = spark.read.schema(layout).parquet(folder)
     pending = (
         staged.select(F.col("run").alias("source")).distinct().join(store.log.sources(), "source", "left_anti")
     )

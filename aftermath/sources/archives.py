@@ -66,12 +66,10 @@ def read_readings(spark: SparkSession, path: str, years: Sequence[int] | None =
     ``years`` (see ``matching.active_years``) skips files no window touches. A
     gzip file is read by a single task; ``spread`` repartitions after that.
     """
-    chosen = [f"{path}/{year}.csv.gz" for year in years] if years is not None else [f"{path}/[0-9][0-9][0-9][0-9].csv.gz"]
+    names = "{" + ",".join(map(str, years)) + "}" if years is not None else "[0-9][0-9][0-9][0-9]"
     raw = (
         spark.read.schema(READING_SCHEMA)
-        .option("mode", "PERMISSIVE")
-        .option("ignoreMissingFiles", True)
-        .csv(chosen)
+        .csv(f"{path}/{names}.csv.gz")
         .select("ID", "DATE", "ELEMENT", "VALUE")
     )
     return raw.repartition(spread) if spread else raw
