@@ -129,7 +129,7 @@ def search(
     fitted = validator.fit(folded)
     best = max(range(len(maps)), key=lambda i: fitted.avgMetrics[i])
     return Trained(
-        name, fitted.bestModel, settings[best], evaluate(fitted.bestModel, test, target), round(fitted.avgMetrics[best], 4)
+        name, fitted.bestModel, settings[best], evaluate(fitted.bestModel, test, target), round(float(fitted.avgMetrics[best]), 4)
     )
 
 

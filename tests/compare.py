@@ -30,9 +30,8 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, connection, folder: Path, query, sql: str):
+def compare(frame, connection, sql: str):
     """None if both agree, else a short description of the first difference."""
-    frame = query(spark, str(folder))
     got_names, got = rows_of(frame.columns, [tuple(r) for r in frame.collect()])
     relation = connection.execute(sql)
     names = [d[0] for d in relation.description]
@@ -65,7 +64,7 @@ def main():
         began = time.time()
         try:
             if name in oracles:
-                outcome = compare(spark, connection, folder, query, oracles[name])
+                outcome = compare(query(spark, str(folder)), connection, oracles[name])
             else:
                 outcome = None
                 print(f"   {name}: {len(query(spark, str(folder)).collect())} rows, no SQL")
