@@ -285,13 +285,13 @@ FROM logs""",
 
 def budget_gap(spark, folder):
     gaps = scoring.budget_gaps(scored(spark, folder), "predicted_recovery_cost_usd")
-    return gaps.select("c_custkey", "budget_allocation", F.round("gap_usd", 1).alias("gap_usd"))
+    return gaps.select("c_custkey", "budget_allocation", F.round("gap_usd", 3).alias("gap_usd"))
 
 
 BUDGET_GAP = with_ctes(
     """
 SELECT c_custkey, label AS budget_allocation,
-       round(round(exp(log) - 1, 2) * level - round(exp(log) - 1, 2), 1) AS gap_usd
+       round(round(exp(log) - 1, 2) * level - round(exp(log) - 1, 2), 3) AS gap_usd
 FROM logs CROSS JOIN (VALUES ('50%', 0.5::DOUBLE), ('70%', 0.7::DOUBLE), ('90%', 0.9::DOUBLE), ('100%', 1.0::DOUBLE),
                              ('110%', 1.1::DOUBLE), ('130%', 1.3::DOUBLE)) AS levels(label, level)""",
     LINEAR_SQL,
