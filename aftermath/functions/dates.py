@@ -76,19 +76,28 @@ def day_blocks(df: DataFrame, first: str, last: str, top: int) -> DataFrame:
     block length). A span needs about two blocks per level and one per full top
     block, instead of one row per day.
     """
+    level = F.col("_level")
+    size = F.call_function("shiftleft", F.lit(1), level)
     begin, stop = day_number(F.col(first)), day_number(F.col(last)) + 1
-    size = F.pow(F.lit(2.0), F.col("_level"))
     leveled = df.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumns(
-        {"_from": F.ceil(begin / size).cast("int"), "_to": F.floor(stop / size).cast("int")}
+        {
+            "_from": F.call_function("shiftright", begin + size - 1, level),
+            "_to": F.call_function("shiftright", stop, level),
+        }
     )
     low, high = F.col("_from"), F.col("_to")
-    edges = F.array_compact(F.array(F.when(low % 2 != 0, low), F.when(high % 2 != 0, high - 1)))
-    blocks = F.when(F.col("_level") == top, F.sequence(low, high - 1)).otherwise(edges)
-    return leveled.where(low < high).withColumn("_block", F.explode(blocks)).drop("_from", "_to")
+    # Below the top level only an odd first or last block is not part of a larger one.
+    edges = F.array(F.when(low % 2 != 0, low), F.when(high % 2 != 0, high - 1))
+    blocks = F.when(level == top, F.sequence(low, high - 1)).otherwise(edges)
+    return (
+        leveled.where(low < high)
+        .withColumn("_block", F.explode(blocks))
+        .where(F.col("_block").isNotNull())
+        .drop("_from", "_to")
+    )
 
 
 def in_blocks(df: DataFrame, day: str, top: int) -> DataFrame:
     """One row per level for each day, with the block of that level it lies in."""
     leveled = df.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(top))))
-    size = F.pow(F.lit(2.0), F.col("_level"))
-    return leveled.withColumn("_block", F.floor(day_number(F.col(day)) / size).cast("int"))
+    return leveled.withColumn("_block", F.call_function("shiftright", day_number(F.col(day)), F.col("_level")))

@@ -2,13 +2,14 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from aftermath.spec import REGISTRY, DatasetSpec, conform_columns
 
 # Fixed value: version written into new envelopes.
 SCHEMA_VERSION = "3.0"
 
+ENVELOPE_SHAPE = "dataset string, ingested_at string, payload variant, _corrupt_record string"
 NOT_AN_OBJECT = "not an object"
 MISSING_DATASET = "missing dataset"
 UNKNOWN_DATASET = "unknown dataset"
@@ -32,34 +33,32 @@ def wrap(df: DataFrame, dataset: str | Column, columns: Sequence[str], ingested_
 
 
 def validate(df: DataFrame, value: str = "value", known: Sequence[str] = tuple(REGISTRY)) -> DataFrame:
-    """Add dataset, ingested_at, payload text and the reason an envelope is refused (null if good)."""
-    parsed = df.withColumn("_v", F.try_parse_json(value))
-    picked = parsed.withColumns(
-        {
-            "_object": F.schema_of_variant("_v").startswith("OBJECT"),
-            "dataset": F.try_variant_get("_v", "$.dataset", "string"),
-            "ingested_at": F.try_variant_get("_v", "$.ingested_at", "string"),
-            "_payload": F.try_variant_get("_v", "$.payload", "variant"),
-        }
-    )
+    """Add dataset, ingested_at, payload (a variant) and the reason an envelope is refused (null if good).
+
+    Keep the result (persist or write it) when it is filtered more than once:
+    a filter on a column computed here parses the text again.
+    """
+    opened = df.withColumn("_e", F.from_json(value, ENVELOPE_SHAPE))
+    # Text that parses and begins with a brace is an object.
+    is_object = F.ltrim(value).startswith("{") & F.col("_e._corrupt_record").isNull()
     reason = (
-        F.when(~F.coalesce("_object", F.lit(False)), NOT_AN_OBJECT)
-        .when(F.coalesce("dataset", F.lit("")) == "", MISSING_DATASET)
-        .when(~F.col("dataset").isin(*known), UNKNOWN_DATASET)
-        .when(~F.coalesce(F.schema_of_variant("_payload").startswith("OBJECT"), F.lit(False)), INVALID_PAYLOAD)
-    )
-    return picked.withColumn("reason", reason).withColumn("payload", F.to_json("_payload")).drop(
-        "_v", "_object", "_payload"
+        F.when(~F.coalesce(is_object, F.lit(False)), NOT_AN_OBJECT)
+        .when(F.coalesce("_e.dataset", F.lit("")) == "", MISSING_DATASET)
+        .when(~F.col("_e.dataset").isin(*known), UNKNOWN_DATASET)
+        .when(~F.coalesce(F.schema_of_variant("_e.payload").startswith("OBJECT"), F.lit(False)), INVALID_PAYLOAD)
     )
+    return opened.select(*df.columns, "_e.dataset", "_e.ingested_at", "_e.payload", reason.alias("reason"))
 
 
 def records(validated: DataFrame, spec: DatasetSpec, extra: Sequence[str] = ()) -> DataFrame:
     """Typed records of one dataset from accepted envelopes.
 
-    Fields are read as text and then cast leniently, so that a number sent as
-    text is still a number.
+    Fields are cast leniently: a number sent as text is still a number, and a
+    field of another type is null.
     """
-    as_text = T.StructType([T.StructField(name, T.StringType()) for name in spec.columns])
     mine = validated.where(F.col("reason").isNull() & (F.col("dataset") == spec.name))
-    opened = mine.select(F.from_json("payload", as_text).alias("_p"), *extra).select("_p.*", *extra)
-    return opened.select(*conform_columns(opened, spec), *extra)
+    fields = [
+        F.try_variant_get("payload", f"$.{name}", "string").alias(name) for name in spec.columns
+    ]
+    texts = mine.select(*fields, *extra)
+    return texts.select(*conform_columns(texts, spec), *extra)

@@ -214,7 +214,7 @@ def event_records(spark, folder):
 
 def envelope_roundtrip(spark, folder):
     sent = envelope.wrap(event_records(spark, folder), "events", EVENTS.columns)
-    return envelope.records(envelope.validate(sent, known=["events"]), EVENTS)
+    return envelope.records(durable(envelope.validate(sent, known=["events"])), EVENTS)
 
 
 ENVELOPE_ROUNDTRIP = (
@@ -237,7 +237,8 @@ def envelope_validate(spark, folder):
         .otherwise(good)
         .alias("value"),
     )
-    return envelope.validate(sent, known=["events"]).select("event_id", "reason", "payload")
+    judged = envelope.validate(sent, known=["events"])
+    return judged.select("event_id", "reason", F.to_json("payload").alias("payload"))
 
 
 ENVELOPE_VALIDATE = """

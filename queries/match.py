@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from aftermath.functions import dates
 from aftermath.operators import cleaning, costs, features, matching
+from aftermath.session import durable
 from aftermath.sources import archives
 from queries.bindings import (
     DAILY_SQL,
@@ -84,9 +85,10 @@ GROUP BY 1""",
 )
 
 
-def storm_table(spark, folder):
+def storm_table(spark, folder, incidents=None):
     measures = matching.storm_measures("magnitude_type", "event_type", "magnitude")
-    return matching.storm_exposure(declarations(spark, folder), storm_events(spark, folder), measures)
+    incidents = incidents or declarations(spark, folder)
+    return matching.storm_exposure(incidents, storm_events(spark, folder), measures)
 
 
 def storm_aggregate(spark, folder):
@@ -122,8 +124,8 @@ def rain_clean(spark, folder):
 RAIN_CLEAN = with_ctes(" SELECT state, day, precip_mm FROM daily", DAILY_SQL)
 
 
-def rain_table(spark, folder):
-    return matching.rain_exposure(declarations(spark, folder), daily(spark, folder))
+def rain_table(spark, folder, incidents=None):
+    return matching.rain_exposure(incidents or declarations(spark, folder), daily(spark, folder))
 
 
 def rain_match(spark, folder):
@@ -158,8 +160,9 @@ FROM (SELECT DISTINCT disasternumber FROM decl) d LEFT JOIN storm s ON d.disaste
 def training_match_rate(spark, folder):
     """Share of the rows with a cost that have rainfall."""
     cost = costs.cost_by_disaster(cleaning.clean_projects(projects(spark, folder)))
-    rows = declarations(spark, folder).join(cost.select("disasternumber"), "disasternumber", "left_semi")
-    percent = matching.matched_row_percent(rows, rain_table(spark, folder))
+    landed = durable(declarations(spark, folder))
+    rows = landed.join(cost.select("disasternumber"), "disasternumber", "left_semi")
+    percent = matching.matched_row_percent(rows, rain_table(spark, folder, landed))
     return percent.select(F.round("row_match_percent", 6).alias("row_match_percent"))
 
 
@@ -176,8 +179,11 @@ FROM decl WHERE disasternumber IN (SELECT disasternumber FROM projects)""",
 )
 
 
-def climate(spark, folder):
-    return matching.combine_exposures(storm_table(spark, folder), rain_table(spark, folder))
+def climate(spark, folder, incidents=None):
+    """Both exposures; ``incidents`` passes declarations that are already written out."""
+    return matching.combine_exposures(
+        storm_table(spark, folder, incidents), rain_table(spark, folder, incidents)
+    )
 
 
 def climate_outer(spark, folder):
@@ -195,10 +201,10 @@ CLIMATE_OUTER = with_ctes(" SELECT * FROM climate", *CLIMATE_CTES)
 
 
 def climate_features(spark, folder):
-    joined = features.attach_climate(
-        declarations(spark, folder).select("disasternumber", "state"), climate(spark, folder), "disasternumber"
+    landed = durable(declarations(spark, folder))
+    return features.attach_climate(
+        landed.select("disasternumber", "state"), climate(spark, folder, landed), "disasternumber"
     )
-    return joined
 
 
 CLIMATE_FEATURES = with_ctes(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from aftermath.functions import lookups
 from aftermath.operators import cleaning, costs, features
 from aftermath.plans import features as plan
+from aftermath.session import durable
 from queries.bindings import (
     DECLARATIONS_SQL,
     PROJECTS_SQL,
@@ -56,8 +57,9 @@ FROM (SELECT id, {REGION_CASE} AS region FROM decl)""",
 
 
 def severity_score(spark, folder):
+    landed = durable(declarations(spark, folder))
     exposed = features.attach_climate(
-        declarations(spark, folder).select("id", "disasternumber", "incidenttype"), climate(spark, folder), "disasternumber"
+        landed.select("id", "disasternumber", "incidenttype"), climate(spark, folder, landed), "disasternumber"
     )
     scored = features.blend_severity(
         exposed, lookups.type_severity(F.col("incidenttype")), features.CLIMATE_COLUMNS
@@ -176,14 +178,15 @@ LABELS = (
 
 def feature_table(spark, folder):
     """The whole job: clean, match, count, blend, encode, cost, cross-check."""
+    landed = durable(declarations(spark, folder))
     usable = cleaning.clean_projects(projects(spark, folder))
     names = costs.category_names(usable, "damagecategorycode")
     cost = costs.cost_by_disaster(usable, category="damagecategorycode", categories=names)
     built = plan.engineer(
-        cleaning.clean_declarations(declarations(spark, folder).drop("applicant", "place")),
+        cleaning.clean_declarations(landed.drop("applicant", "place")),
         cost,
         cleaning.clean_summaries(summaries(spark, folder)),
-        climate(spark, folder),
+        climate(spark, folder, landed),
         labels=LABELS,
     )
     return built.select(
