@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aftermath.operators.merging import with_arrival
 from aftermath.sources.store import KeyedStore
-from aftermath.sources.tables import path_exists
+from aftermath.sources.tables import path_exists, sizes
 from aftermath.spec import DatasetSpec, conform
 
 
@@ -43,13 +43,16 @@ def merge_staged(spark: SparkSession, root: str, spec: DatasetSpec, buckets: int
 
 
 def statistics(spark: SparkSession, root: str, spec: DatasetSpec) -> dict:
-    """Existence, rows, key, cursor and mark of a stored dataset."""
+    """Existence, rows, size, key, cursor and mark of a stored dataset."""
     store = store_of(spark, root, spec)
-    rows = store.read()
+    current = store.read()
+    size = None if current is None else sizes(current).head()
     return {
         "dataset": spec.name,
-        "exists": rows is not None,
-        "rows": 0 if rows is None else rows.count(),
+        "exists": current is not None,
+        "rows": 0 if size is None else size.rows,
+        "files": 0 if size is None else size.files,
+        "file_size_mb": 0.0 if size is None else size.megabytes,
         "key_field": spec.key,
         "checkpoint_field": spec.cursor,
         "mark": store.mark(),

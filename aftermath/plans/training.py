@@ -201,9 +201,14 @@ def temporal_evaluation(
     """Fit on the years up to the limit, score the later ones."""
     features, _ = usable_features(df, version)
     rows = metrics.year_split(df, "declaration_year", last_train_year).dropna(subset=[target, *features])
-    report = {r.split: r.asDict() for r in metrics.split_report(rows, "declaration_year").collect()}
-    model = pipeline(features, boosted(params or TEMPORAL_PARAMS, target)).fit(rows.where("split = 'train'"))
-    return {"periods": report, "features": features, **evaluate(model, rows.where("split = 'test'"), target)}
+    rows = rows.select("split", "declaration_year", target, *[f for f in features if f != "declaration_year"]).persist()
+    try:
+        report = {r.split: r.asDict() for r in metrics.split_report(rows, "declaration_year").collect()}
+        model = pipeline(features, boosted(params or TEMPORAL_PARAMS, target)).fit(rows.where("split = 'train'"))
+        scores = evaluate(model, rows.where("split = 'test'"), target)
+    finally:
+        rows.unpersist()
+    return {"periods": report, "features": features, **scores}
 
 
 def regime_evaluation(
@@ -214,10 +219,12 @@ def regime_evaluation(
     results = []
     regimes = {"All Disasters": df, f"Non-{excluded} Disasters": cleaning.exclude_kind(df, kind, excluded)}
     for name, regime in regimes.items():
-        rows = metrics.hash_split(cleaning.complete_cases(regime, [*features, target]), key, TEST_PERCENT)
+        complete = cleaning.complete_cases(regime.select(key, target, *features), [*features, target])
+        rows = metrics.hash_split(complete, key, TEST_PERCENT).persist()
         sizes = {r.split: r.n for r in rows.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
         model = pipeline(features, boosted(params or REGIME_PARAMS, target)).fit(rows.where("split = 'train'"))
         scores = evaluate(model, rows.where("split = 'test'"), target)
+        rows.unpersist()
         train, test = sizes.get("train", 0), sizes.get("test", 0)
         results.append((name, train + test, train, test, scores["r2"], scores["rmse"], scores["mae"]))
     return df.sparkSession.createDataFrame(

@@ -1,11 +1,15 @@
 """Readers of the two weather archives."""
 
+import logging
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aftermath.functions.text import numeric
 
+logger = logging.getLogger(__name__)
+
 # File-name pattern (year, version), columns used, and field positions.
 STORM_FILE = r"StormEvents_details-ftp_v1\.0_d(\d{4})_c(\d+)\.csv\.gz"
 STORM_COLUMNS = (
@@ -38,12 +42,20 @@ def read_storm_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     Files of different years may order or lack columns, so each is read by its
     own header and united by name. There is one file per year; the loop only
-    builds the plan.
+    builds the plan. A file whose header cannot be read is skipped with a
+    warning; one that breaks off later gives the rows before the break.
     """
     frames = []
     for path in paths:
-        raw = spark.read.option("header", True).option("ignoreCorruptFiles", True).csv(path)
+        try:
+            raw = spark.read.option("header", True).option("ignoreCorruptFiles", True).csv(path)
+        except PySparkException as error:
+            logger.warning("skipping %s: %s", path, error)
+            continue
         found = {name.strip().upper(): name for name in raw.columns}
+        if not found:
+            logger.warning("skipping %s: no header", path)
+            continue
         frames.append(
             raw.select(
                 *[

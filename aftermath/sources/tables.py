@@ -43,9 +43,13 @@ def unwrap_records(df: DataFrame) -> DataFrame:
     raise ValueError(f"no list of records among fields {df.columns}")
 
 
-def read_landed_json(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
-    """Landed API responses of a dataset, unwrapped and conformed."""
-    return conform(unwrap_records(spark.read.option("multiLine", True).json(path)), spec)
+def read_landed_json(spark: SparkSession, path: str, spec: DatasetSpec, strict: bool = False) -> DataFrame:
+    """Landed API responses of a dataset, unwrapped and conformed.
+
+    ``strict`` makes a file that is not valid JSON an error; otherwise it gives no rows.
+    """
+    mode = "FAILFAST" if strict else "DROPMALFORMED"
+    return conform(unwrap_records(spark.read.option("multiLine", True).option("mode", mode).json(path)), spec)
 
 
 def sizes(df: DataFrame) -> DataFrame:

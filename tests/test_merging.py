@@ -149,6 +149,10 @@ def test_landed_json_is_unwrapped_and_conformed(spark, tmp_path):
     (tmp_path / "p.json").write_text(json.dumps(page))
     got = tables.read_landed_json(spark, str(tmp_path / "p.json"), DISASTER_SUMMARIES)
     assert sorted((r.disasterNumber, r.totalObligatedAmountPa) for r in got.collect()) == [(12, 5.0), (13, None)]
+    (tmp_path / "q.json").write_text('{"metadata": {"skip": 0}, "Summaries": [{"disasterNumber"')
+    with pytest.raises(Exception):
+        tables.read_landed_json(spark, str(tmp_path / "*.json"), DISASTER_SUMMARIES, strict=True).collect()
+    assert tables.read_landed_json(spark, str(tmp_path / "*.json"), DISASTER_SUMMARIES).count() == 2
     with pytest.raises(ValueError, match="no list"):
         tables.unwrap_records(spark.range(1))
 
@@ -176,6 +180,10 @@ def test_archive_readers(spark, tmp_path):
     events = archives.read_storm_files(spark, [str(tmp_path / "a.csv.gz"), str(tmp_path / "b.csv.gz")])
     assert sorted((r.CZ_FIPS, r.MAGNITUDE, r.MAGNITUDE_TYPE) for r in events.collect()) == [("1", "1.5", None), ("3", "2", "EG")]
     assert archives.read_storm_files(spark, []).count() == 0
+    (tmp_path / "c.csv.gz").write_bytes(b"not gzip at all")
+    (tmp_path / "empty.csv").write_text("")
+    mixed = [str(tmp_path / name) for name in ("c.csv.gz", "empty.csv", "absent.csv.gz", "a.csv.gz")]
+    assert archives.read_storm_files(spark, mixed).count() == 1
     line = "US000000001  12.5000 -101.5000   30.5 TX SOMEWHERE NAME                "
     (tmp_path / "stations.txt").write_text(line + "\n")
     station = archives.read_stations(spark, str(tmp_path / "stations.txt")).head()
