@@ -24,8 +24,14 @@ def two_digit_year_timestamp(value: Column) -> Column:
 
 
 def compact_date(value: Column) -> Column:
-    """``yyyyMMdd`` as a date; null if it does not parse."""
-    return F.try_to_timestamp(value.try_cast("string"), F.lit("yyyyMMdd")).cast("date")
+    """``yyyyMMdd`` as a date; null if it does not parse.
+
+    Spelled with dashes and cast, which is several times faster than a format
+    pattern; readings are the largest input.
+    """
+    digits = value.cast("string")
+    spelled = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
+    return F.when(F.length(digits) == 8, spelled.try_cast("date"))
 
 
 def day_number(value: Column) -> Column:

@@ -28,10 +28,16 @@ KINDS = (
 )
 
 
+_schemas: dict = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table; calendar arithmetic is in UTC."""
+    """A test table; calendar arithmetic is in UTC. The schema is read off the file once."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def pick(labels, index: Column) -> Column:

@@ -59,6 +59,8 @@ def test_iso_text_and_compact_dates(spark):
     assert one(spark, dates.utc_timestamp(F.col("v")), v="not a date") is None
     assert one(spark, dates.compact_date(F.col("v")), v="19961340") is None
     assert str(one(spark, dates.compact_date(F.col("v")), v=19960428)) == "1996-04-28"
+    for wrong in ("1996", "199604281", "1996 428", "1996-4-2", "abcdefgh", "19960230", ""):
+        assert one(spark, dates.compact_date(F.col("v")), v=wrong) is None, wrong
 
 
 def test_fractional_days_clip_and_fill(spark):
