@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aftermath.functions.dates import day_blocks, day_number, in_blocks
+from aftermath.session import small_side
 
 # Which magnitudes are wind speeds and which events are floods.
 WIND_MAGNITUDES = ("EG", "ES", "MG", "MS")
@@ -159,14 +160,16 @@ def storm_exposure(
     )
 
 
-def daily_maximum(readings: DataFrame, stations: DataFrame, station: str, state: str, day: str, value: str) -> DataFrame:
-    """Highest reading per state and day.
+def daily_maximum(
+    readings: DataFrame, stations: DataFrame, station: str, state: str, day: str, value: str
+) -> DataFrame:
+    """Highest reading per state and day: at most states x days rows.
 
-    The station list is a catalogue of fixed files and joins by whatever
-    strategy its size allows; the result has at most states x days rows.
+    The station list is counted and broadcast if it is small enough, so that
+    the readings, the largest input, are reduced before they are shuffled.
     """
     return (
-        readings.join(stations.select(station, state), station)
+        readings.join(small_side(stations.select(station, state)), station)
         .groupBy(state, day)
         .agg(F.max(value).alias(value))
     )

@@ -37,14 +37,14 @@ DEDUP_LATEST = f"SELECT * FROM {newest_sql(ALL_SQL)}"
 
 
 def sides(spark, folder):
-    """Stored lines are the open ones; the incoming batch is everything not returned."""
+    """Stored lines are the open ones; the batch has all others and sends the unreturned open ones again."""
     rows = versions(spark, folder)
     stored = rows.where("l_linestatus = 'O'").select(*VERSION)
-    return stored, rows.where("l_returnflag <> 'R'").select(*VERSION)
+    return stored, rows.where("l_linestatus <> 'O' OR l_returnflag <> 'R'").select(*VERSION)
 
 
 STORED_SQL = f"(SELECT {', '.join(VERSION)} FROM lineitem WHERE l_linestatus = 'O')"
-INCOMING_SQL = f"(SELECT {', '.join(VERSION)} FROM lineitem WHERE l_returnflag <> 'R')"
+INCOMING_SQL = f"(SELECT {', '.join(VERSION)} FROM lineitem WHERE l_linestatus <> 'O' OR l_returnflag <> 'R')"
 
 
 def union_merge(spark, folder):
