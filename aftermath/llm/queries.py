@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aftermath.llm import mixing, sharding, simhash, toxicity
+from aftermath.llm import decontaminate, mixing, sharding, simhash, toxicity
 from aftermath.llm.shared import table
 
 SHARDS = 16
@@ -25,10 +25,15 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 # name: (query, SQL or None)
 QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
     "op3_simhash": (op3_simhash, None),
     "op5_sharding": (op5_sharding, None),
     "op7_mixing": (op7_mixing, None),
+    "op10_decontamination": (op10_decontamination, None),
 }
