@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aftermath.llm import decontaminate, mixing, sharding, simhash, toxicity
+from aftermath.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash, toxicity
 from aftermath.llm.shared import table
 
 SHARDS = 16
@@ -21,10 +21,18 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"), tree, sharding.grown(tree, SHARDS))
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, folder, "documents"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(table(spark, folder, "documents"))
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(table(spark, folder, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -34,6 +42,8 @@ QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
     "op3_simhash": (op3_simhash, None),
     "op5_sharding": (op5_sharding, None),
+    "op6_secrets": (op6_secrets, None),
     "op7_mixing": (op7_mixing, None),
+    "op8_quality": (op8_quality, None),
     "op10_decontamination": (op10_decontamination, None),
 }
