@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aftermath.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash, toxicity
+from aftermath.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
 from aftermath.llm.shared import table
 
 SHARDS = 16
@@ -16,6 +16,11 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.deduplicated(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     tree = sharding.even_tree(SHARDS)
     return sharding.sharded(table(spark, folder, "documents"), tree, sharding.grown(tree, SHARDS))
@@ -41,6 +46,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
     "op3_simhash": (op3_simhash, None),
+    "op4_suffixes": (op4_suffixes, None),
     "op5_sharding": (op5_sharding, None),
     "op6_secrets": (op6_secrets, None),
     "op7_mixing": (op7_mixing, None),
