@@ -5,8 +5,9 @@ Plain doubling keeps a row for every byte in every round. Here each window of
 200 bytes is named by one position in it, the leftmost 40-byte string of least
 hash: equal windows choose the same string at the same offset. Only those
 positions get rows, about one in eighty bytes. Ranks grow from 40 bytes to
-rank triples of 160 + 40 + 160 around the position, and to pairs (rank of 40,
-rank of 200) for single windows; what is unique leaves before each round.
+rank triples of 160 + 40 + 160 around the position, to 185 and 215 bytes for
+each group of 16 windows, and to 200 for single windows; what is unique or past
+the threshold leaves before each round.
 """
 
 import hashlib
@@ -22,6 +23,8 @@ LENGTH = 200  # bytes of a repeated string
 SEED = 40  # bytes of the first rank
 SPAN = LENGTH - SEED + 1  # seeds in a window; less than 256
 AROUND = LENGTH - SEED
+GROUP = 16  # windows decided together
+SIEVE_BITS = 27  # of a bitmap that is broadcast: 16 MB, whatever the input
 
 
 def chosen(h: np.ndarray) -> np.ndarray:
@@ -60,20 +63,64 @@ def _signed(a: np.ndarray) -> pa.Array:
     return pa.array(a.view(np.int64) if a.dtype == np.uint64 else a.astype(np.int64))
 
 
-def _positions(names_only: bool):
+def _places(values: np.ndarray) -> np.ndarray:
+    return (mixed(values.view(np.uint64)) >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+
+
+def sieve(values: DataFrame):
+    """A broadcast bitmap of a column of longs: most rows without a match stop before the shuffle.
+
+    The join after it is exact. The size is fixed; where the bitmap fills up at
+    a larger input, it lets more rows pass.
+    """
+
+    def run(batches):
+        for batch in batches:
+            places = np.unique(_places(batch.column(0).to_numpy()))
+            words, first = np.unique(places >> 6, return_index=True)
+            bits = np.bitwise_or.reduceat(np.int64(1) << (places & 63), first) if len(words) else words
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits)], ["word", "bits"])
+
+    got = values.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
+    bits[got["word"].to_numpy()] = got["bits"].to_numpy()
+    return values.sparkSession.sparkContext.broadcast(bits)
+
+
+def passing(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    places = _places(values)
+    return (bits[places >> 6] >> (places & 63)) & 1 == 1
+
+
+def sifted(df: DataFrame, key: str, sieve, keep: bool = True) -> DataFrame:
+    """The rows whose ``key`` passes the sieve, or those that do not."""
+    at = df.columns.index(key)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(passing(sieve.value, batch.column(at).to_numpy()) == keep))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def _positions(names_only: bool, sieve=None):
     def run(batches):
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), column_bytes(batch.column(1))
             for key, text in zip(keys, texts):
                 if len(text) < LENGTH:
                     continue
-                x, first, last, name, before, after = anchors(text)
+                found = anchors(text)
+                if sieve is not None:
+                    alive = passing(sieve.value, found[3])
+                    found = [column[alive] for column in found]
+                x, first, last, name, before, after = found
                 if names_only:
                     yield pa.RecordBatch.from_arrays([_signed(name)], ["name"])
                 else:
                     owner = pa.array(np.full(len(x), key, np.int64))
-                    columns = [owner, _signed(first), _signed(last), _signed(name), _signed(before), _signed(after)]
-                    yield pa.RecordBatch.from_arrays(columns, ["key", "lo", "hi", "name", "before", "after"])
+                    columns = [owner, _signed(x), _signed(first), _signed(last), _signed(name), _signed(before), _signed(after)]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "x", "lo", "hi", "name", "before", "after"])
 
     return gathered(run)
 
@@ -95,6 +142,31 @@ def gathered(run, rows: int = 50_000):
     return merged
 
 
+def _groups(batches):
+    """Groups of windows at the same offsets from their name: (name, group, rank of all they share, of all they cover, key, lo, hi)."""
+    for batch in batches:
+        keys, texts, asked = batch.column(0).to_pylist(), column_bytes(batch.column(1)), batch.column(2).to_pylist()
+        for key, text, asks in zip(keys, texts, asked):
+            sums = prefix_hashes(np.frombuffer(text, np.uint8))
+            name, x, lo, hi = (np.array([a[c] for a in asks], np.int64) for c in ("name", "x", "lo", "hi"))
+            least, most = (x - hi) // GROUP, (x - lo) // GROUP
+            n = most - least + 1
+            name, x, lo, hi = (np.repeat(c, n) for c in (name, x, lo, hi))
+            group = np.repeat(least, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            last = x - group * GROUP  # the group's last window and, before it, its first
+            first = last - GROUP + 1
+            shared = hash_between(sums, last, first + LENGTH)
+            inside = (first >= 0) & (last + LENGTH <= len(text))
+            covered = hash_between(sums, np.where(inside, first, 0), np.where(inside, last + LENGTH, 0))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(name), _signed(group), _signed(shared), pa.array(covered.view(np.int64), mask=~inside),
+                    pa.array(np.full(len(x), key, np.int64)), _signed(np.maximum(lo, first)), _signed(np.minimum(hi, last)),
+                ],
+                ["name", "grp", "shared", "covered", "key", "lo", "hi"],
+            )
+
+
 def _windows(batches):
     """Each asked window of a text: (name, rank of the whole window, key, place)."""
     for batch in batches:
@@ -160,31 +232,61 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     # Round 1: 40 bytes. Names that occur once leave.
     names = source.mapInArrow(_positions(True), "name long").groupBy("name").agg(F.count(F.lit(1)).alias("_n"))
     names = space.write(names.where("_n > 1").select("name"), "names")
-    rows = source.mapInArrow(_positions(False), "key long, lo long, hi long, name long, before long, after long")
-    rows = rows.select("key", F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"), "name", "before", "after")
+    schema = "key long, x long, lo long, hi long, name long, before long, after long"
+    rows = source.mapInArrow(_positions(False, sieve(names)), schema)
+    rows = rows.withColumns({c: F.col(c).cast("int") for c in ("x", "lo", "hi")})
     rows = space.write(rows.join(names, "name"), "positions")
 
     # Round 2: 360 bytes around. All windows of a place whose surroundings occur twice are repeated.
     around = rows.groupBy("name", "before", "after").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo", "hi")).alias("one")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "x", "lo", "hi")).alias("one")
     )
     around = space.write(around, "around")
     twice = rows.join(around.where("n > 1").select("name", "before", "after"), ["name", "before", "after"], "left_semi")
     sure = space.write(twice.select("key", "lo", "hi"), "sure")
-
-    # Round 3: single windows, where a name has several surroundings; one place speaks for each of these.
     several = around.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("name")
-    asks = around.join(several, "name").select("one.key", F.struct("name", "one.lo", "one.hi").alias("ask"))
-    asks = asks.groupBy("key").agg(F.collect_list("ask").alias("asks"))
-    windows = source.join(asks, "key").select("key", "text", "asks")
+    asks = around.join(several, "name").select("one.key", F.struct("name", "one.x", "one.lo", "one.hi").alias("ask"))
+    asks = space.write(asks.groupBy("key").agg(F.collect_list("ask").alias("asks")), "asks")
+    space.drop("names", "positions")
+
+    # Round 3: groups of windows of names with several surroundings; one place speaks for each of these.
+    # What the windows of a group share is in all of them, what they cover holds all of them.
+    asked = space.write(sifted(source, "key", sieve(asks.select("key"))).join(asks, "key").select("key", "text", "asks"), "asked")
+    schema = "name long, grp long, shared long, covered long, key long, lo long, hi long"
+    groups = asked.mapInArrow(gathered(_groups), schema)
+    groups = space.write(groups.withColumns({c: F.col(c).cast("int") for c in ("grp", "lo", "hi")}), "groups")
+
+    def repeated(df: DataFrame, rank: str) -> DataFrame:
+        """The (name, grp, rank) that occur twice."""
+        found = df.where(F.col(rank).isNotNull()).groupBy("name", "grp", rank).agg(F.count(F.lit(1)).alias("_n"))
+        return found.where("_n > 1").drop("_n")
+
+    alive = groups.join(repeated(groups, "shared"), ["name", "grp", "shared"], "left_semi")
+    full = repeated(groups, "covered").withColumn("_full", F.lit(True))
+    alive = space.write(alive.join(full, ["name", "grp", "covered"], "left"), "alive")
+    space.drop("around", "asks", "groups")
+
+    # Round 4: single windows of the groups that are neither unique nor repeated as a whole.
+    # One group of those repeated as a whole still has to speak for them where another may share some windows.
+    undecided = alive.where("_full IS NULL")
+    speakers = alive.where("_full").groupBy("name", "grp", "shared", "covered").agg(F.min(F.struct("key", "lo", "hi")).alias("one"))
+    speakers = speakers.join(undecided.select("name", "grp", "shared").distinct(), ["name", "grp", "shared"], "left_semi")
+    asks = undecided.select("key", "name", "lo", "hi").unionByName(speakers.select("one.key", "name", "one.lo", "one.hi"))
+    asks = asks.groupBy("key").agg(F.collect_list(F.struct("name", "lo", "hi")).alias("asks"))
+    windows = asked.select("key", "text").join(asks, "key").select("key", "text", "asks")
     windows = windows.mapInArrow(gathered(_windows), "name long, whole long, key long, p long")
     windows = space.write(windows.select("name", "whole", "key", F.col("p").cast("int").alias("p")), "windows")
     again = windows.groupBy("name", "whole").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("name", "whole")
     found = windows.join(again, ["name", "whole"]).select("key", F.col("p").alias("lo"), F.col("p").alias("hi"))
-    found = space.write(found.unionByName(sure).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("windows")), "found")
-    space.drop("names", "positions", "around", "sure", "windows")
+    found = found.unionByName(sure).unionByName(alive.where("_full").select("key", "lo", "hi"))
+    found = space.write(found.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("windows")), "found")
+    space.drop("sure", "asked", "alive", "windows")
 
     schema = (
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<a:long,b:long>>"
     )
-    return texts.join(found, "key", "left").select("doc_id", "text", "windows").mapInArrow(_cut, schema)
+    cut = sieve(found.select("key"))
+    touched = sifted(texts, "key", cut).join(found, "key", "left").select("doc_id", "text", "windows")
+    none = F.lit(None).cast(found.schema["windows"].dataType).alias("windows")
+    whole = sifted(texts, "key", cut, keep=False).select("doc_id", "text", none)
+    return touched.unionByName(whole).mapInArrow(_cut, schema)
