@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from aftermath.llm.shared import Workspace
-from aftermath.llm.words import column_bytes, hash_between, mixed, powers, prefix_hashes
+from aftermath.llm.words import each_bytes, each_struct, hash_between, mixed, powers, prefix_hashes
 
 LENGTH = 200  # bytes of a repeated string
 SEED = 40  # bytes of the first rank
@@ -106,8 +106,7 @@ def sifted(df: DataFrame, key: str, sieve, keep: bool = True) -> DataFrame:
 def _positions(names_only: bool, sieve=None):
     def run(batches):
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), column_bytes(batch.column(1))
-            for key, text in zip(keys, texts):
+            for key, text in zip(batch.column(0).to_pylist(), each_bytes(batch.column(1))):
                 if len(text) < LENGTH:
                     continue
                 found = anchors(text)
@@ -145,10 +144,9 @@ def gathered(run, rows: int = 50_000):
 def _groups(batches):
     """Groups of windows at the same offsets from their name: (name, group, rank of all they share, of all they cover, key, lo, hi)."""
     for batch in batches:
-        keys, texts, asked = batch.column(0).to_pylist(), column_bytes(batch.column(1)), batch.column(2).to_pylist()
-        for key, text, asks in zip(keys, texts, asked):
+        for key, text, asks in zip(batch.column(0).to_pylist(), each_bytes(batch.column(1)), each_struct(batch.column(2))):
             sums = prefix_hashes(np.frombuffer(text, np.uint8))
-            name, x, lo, hi = (np.array([a[c] for a in asks], np.int64) for c in ("name", "x", "lo", "hi"))
+            name, x, lo, hi = (asks[c].astype(np.int64) for c in ("name", "x", "lo", "hi"))
             least, most = (x - hi) // GROUP, (x - lo) // GROUP
             n = most - least + 1
             name, x, lo, hi = (np.repeat(c, n) for c in (name, x, lo, hi))
@@ -170,34 +168,33 @@ def _groups(batches):
 def _windows(batches):
     """Each asked window of a text: (name, rank of the whole window, key, place)."""
     for batch in batches:
-        keys, texts, asked = batch.column(0).to_pylist(), column_bytes(batch.column(1)), batch.column(2).to_pylist()
-        for key, text, asks in zip(keys, texts, asked):
+        for key, text, asks in zip(batch.column(0).to_pylist(), each_bytes(batch.column(1)), each_struct(batch.column(2))):
             sums = prefix_hashes(np.frombuffer(text, np.uint8))
-            n = np.array([a["hi"] - a["lo"] + 1 for a in asks])
-            p = np.repeat(np.array([a["lo"] for a in asks]), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            names = np.repeat(np.array([a["name"] for a in asks], np.int64), n)
+            lo = asks["lo"].astype(np.int64)
+            n = asks["hi"] - lo + 1
+            p = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            names = np.repeat(asks["name"], n)
             whole = hash_between(sums, p, p + LENGTH)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names), _signed(whole), pa.array(np.full(len(p), key, np.int64)), _signed(p)], ["name", "whole", "key", "p"]
             )
 
 
-def spans_of(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def spans_of(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
     """Maximal byte runs that the windows starting from lo to hi cover."""
-    out: list[list[int]] = []
-    for lo, hi in sorted(windows):
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi + LENGTH)
-        else:
-            out.append([lo, hi + LENGTH])
-    return [(a, b) for a, b in out]
+    if not len(lo):
+        return []
+    order = np.argsort(lo, kind="stable")
+    start, reach = lo[order].astype(np.int64), np.maximum.accumulate(hi[order].astype(np.int64)) + LENGTH
+    first = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
+    return list(zip(start[first].tolist(), reach[np.r_[first[1:] - 1, len(reach) - 1]].tolist()))
 
 
 def _cut(batches):
     for batch in batches:
         rows = []
-        for text, windows in zip(column_bytes(batch.column(1)), batch.column(2).to_pylist()):
-            spans = spans_of([(w["lo"], w["hi"]) for w in windows or ()])
+        for text, windows in zip(each_bytes(batch.column(1)), each_struct(batch.column(2))):
+            spans = spans_of(windows["lo"], windows["hi"])
             kept, at = hashlib.sha256(), 0
             for a, b in spans:
                 kept.update(text[at:a])

@@ -92,3 +92,20 @@ def words_of(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndar
 def column_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def each_bytes(column: pa.Array) -> Iterator[bytes]:
+    """As ``column_bytes``, but one text after the other."""
+    column = column.cast(pa.binary())
+    for i in range(len(column)):
+        yield column[i].as_py() or b""
+
+
+def each_struct(column: pa.ListArray) -> Iterator[dict[str, np.ndarray]]:
+    """For each list of structs of numbers its fields as arrays; a null list is an empty one."""
+    begin = column.offsets.to_numpy()
+    fields = {f.name: column.values.field(i).to_numpy(zero_copy_only=False) for i, f in enumerate(column.type.value_type)}
+    absent = column.is_null().to_numpy(zero_copy_only=False)
+    for i in range(len(column)):
+        end = begin[i] if absent[i] else begin[i + 1]
+        yield {name: values[begin[i] : end] for name, values in fields.items()}
