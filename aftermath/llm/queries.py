@@ -2,12 +2,16 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aftermath.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
+from aftermath.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity, warc_zip
 from aftermath.llm.shared import table
 
 SHARDS = 16
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_zip.round_trip(table(spark, folder, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -44,6 +48,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 # name: (query, SQL or None)
 QUERIES = {
+    "op1_warc": (op1_warc, None),
     "op2_toxicity": (op2_toxicity, None),
     "op3_simhash": (op3_simhash, None),
     "op4_suffixes": (op4_suffixes, None),
