@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aftermath.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity, warc_zip
+from aftermath.llm import chaining, decontaminate, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity, warc_zip
 from aftermath.llm.shared import table
 
 SHARDS = 16
@@ -42,6 +42,10 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
 
+def op9_chaining(spark: SparkSession, folder: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, folder, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -56,5 +60,6 @@ QUERIES = {
     "op6_secrets": (op6_secrets, None),
     "op7_mixing": (op7_mixing, None),
     "op8_quality": (op8_quality, None),
+    "op9_chaining": (op9_chaining, None),
     "op10_decontamination": (op10_decontamination, None),
 }

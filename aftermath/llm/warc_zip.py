@@ -236,9 +236,12 @@ def read_archives(packages: DataFrame) -> DataFrame:
     checked against their digest.
     """
     places = packages.repartition("name").mapInArrow(_locate, "path string, begin long, length long")
+    # An index row stands for a whole record, so Spark must not size tasks by the index.
+    records = packages.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    tasks = max(packages.sparkSession.sparkContext.defaultParallelism, -(-records // RECORDS))
     block = F.floor(F.col("begin") / BLOCK)
     end = F.max(F.col("begin") + F.col("length"))
-    dealt = places.withColumn("block", block)
+    dealt = places.withColumn("block", block).repartition(tasks, "path", "block")
     dealt = dealt.withColumn("last", end.over(Window.partitionBy("path", "block")))
     dealt = dealt.sortWithinPartitions("path", "begin").select("path", "begin", "length", "last")
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
