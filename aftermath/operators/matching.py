@@ -280,7 +280,7 @@ def newest_versions(listing: DataFrame, name: str, pattern: str, years: Sequence
         )
         .where(F.col("_year") != "")
         .withColumn("year", F.col("_year").cast("int"))
-        .where(F.col("year").between(min(years), max(years)))
+        .where(F.col("year").isin(*years))
         .groupBy("year")
         .agg(F.max_by("file_name", "version").alias("file_name"), F.max("version").alias("version"))
     )

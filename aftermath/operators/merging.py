@@ -69,8 +69,9 @@ def classify(
     """Incoming records, newest per key, with what each means for the stored table.
 
     ``new``: key not stored. ``unchanged``: same values in the columns both
-    sides have, nulls being equal. ``stale``: an older version than the stored
-    one. ``updated``: anything else.
+    sides have, nulls being equal, and no value in a column that the stored
+    table lacks. ``stale``: an older version than the stored one; a null cursor
+    is older than any value. ``updated``: anything else.
     """
     shared = [c for c in incoming.columns if c in existing.columns and c not in keys]
     fresh = keep_latest(incoming, keys, cursor).alias("i")
@@ -80,17 +81,27 @@ def classify(
     on = F.lit(True)
     for key in keys:
         on = on & (F.col(f"i.{key}") == F.col(f"e.{key}"))
+    added = [F.col(f"i.{c}").isNotNull() for c in incoming.columns if c not in existing.columns]
+    adds = F.array_contains(F.array(*added), True) if added else F.lit(False)
+    ours, theirs = F.col(f"i.{cursor}"), F.col(f"e.{cursor}")
     outcome = (
         F.when(F.col("e._stored").isNull(), NEW)
-        .when(_same_values("i", "e", shared), UNCHANGED)
-        .when(F.col(f"i.{cursor}") < F.col(f"e.{cursor}"), STALE)
+        .when(_same_values("i", "e", shared) & ~adds, UNCHANGED)
+        .when(F.coalesce(ours < theirs, ours.isNull() & theirs.isNotNull()), STALE)
         .otherwise(UPDATED)
     )
     return fresh.join(stored, on, "left").select("i.*", outcome.alias("outcome"))
 
 
 def same_records(left: DataFrame, right: DataFrame) -> bool:
-    """Whether two batches hold the same rows the same number of times (null = null)."""
+    """Whether two batches hold the same rows the same number of times (null = null).
+
+    A column that one side lacks counts as null there.
+    """
+    for one, other in ((left, right), (right, left)):
+        for name in set(one.columns) - set(other.columns):
+            if not one.where(F.col(name).isNotNull()).isEmpty():
+                return False
     columns = sorted(set(left.columns) & set(right.columns))
     tagged = left.select(*columns, F.lit(1).alias("_side")).unionByName(
         right.select(*columns, F.lit(-1).alias("_side"))

@@ -48,7 +48,7 @@ def read_storm_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     frames = []
     for path in paths:
         try:
-            raw = spark.read.option("header", True).option("ignoreCorruptFiles", True).csv(path)
+            raw = spark.read.options(header=True, multiLine=True, escape='"', ignoreCorruptFiles=True).csv(path)
         except PySparkException as error:
             logger.warning("skipping %s: %s", path, error)
             continue

@@ -4,6 +4,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from aftermath.functions.text import key_number
+
 
 @dataclass(frozen=True)
 class DatasetSpec:
@@ -92,7 +94,11 @@ def conform_columns(df: DataFrame, spec: DatasetSpec) -> list[Column]:
         if source is None:
             column = F.lit(None).cast(target.dataType)
         else:
-            column = F.col(f"`{source}`").try_cast(target.dataType)
+            column = F.col(f"`{source}`")
+            if isinstance(target.dataType, T.LongType) and isinstance(df.schema[source].dataType, T.StringType):
+                column = key_number(column)
+            else:
+                column = column.try_cast(target.dataType)
             if isinstance(target.dataType, T.DoubleType):
                 column = F.nanvl(column, F.lit(None).cast("double"))
         columns.append(column.alias(target.name))

@@ -40,7 +40,7 @@ def validate(df: DataFrame, value: str = "value", known: Sequence[str] = tuple(R
     """
     opened = df.withColumn("_e", F.from_json(value, ENVELOPE_SHAPE))
     # Text that parses and begins with a brace is an object.
-    is_object = F.ltrim(value).startswith("{") & F.col("_e._corrupt_record").isNull()
+    is_object = F.col(value).rlike(r"^\s*\{") & F.col("_e._corrupt_record").isNull()
     reason = (
         F.when(~F.coalesce(is_object, F.lit(False)), NOT_AN_OBJECT)
         .when(F.coalesce("_e.dataset", F.lit("")) == "", MISSING_DATASET)

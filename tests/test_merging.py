@@ -194,3 +194,11 @@ def test_sizes(spark, tmp_path):
     spark.range(100).repartition(3).write.parquet(str(tmp_path / "t"))
     row = tables.sizes(spark.read.parquet(str(tmp_path / "t"))).head()
     assert (row.rows, row.files) == (100, 3)
+
+
+def test_a_null_cursor_is_older_and_an_added_column_counts(spark):
+    stored = spark.createDataFrame([(1, "2024", "good"), (2, "2024", "same")], "id long, c string, v string")
+    batch = spark.createDataFrame([(1, None, "bad", None), (2, "2024", "same", 5)], "id long, c string, v string, extra long")
+    got = {r.id: r.outcome for r in merging.classify(stored, batch, ["id"], "c").collect()}
+    assert got == {1: merging.STALE, 2: merging.UPDATED}
+    assert not merging.same_records(stored, batch.select("id", "c", "v", "extra"))
