@@ -50,9 +50,23 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+# The 160 bits of a SHA-1 are 32 letters: every five hexadecimal digits are four.
+OP1_WARC = """
+WITH rows AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+),
+owned AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS owner FROM rows)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+         1 + ((CAST('0x' || substr(digest, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31)
+         AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM owner AND owner IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM owner THEN owner END AS refers_to
+FROM owned"""
+
 # name: (query, SQL or None)
 QUERIES = {
-    "op1_warc": (op1_warc, None),
+    "op1_warc": (op1_warc, OP1_WARC),
     "op2_toxicity": (op2_toxicity, None),
     "op3_simhash": (op3_simhash, None),
     "op4_suffixes": (op4_suffixes, None),
