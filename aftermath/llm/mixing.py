@@ -89,7 +89,7 @@ def mixed(docs: DataFrame, max_entropy: float = 0.995, max_passes: float = 2.0,
     read = read.withColumn("_draw", F.xxhash64(F.lit(seed), "pass", "doc_id"))
     read = read.withColumn("_stream", F.concat_ws("/", F.col("pass").cast("string"), "_source"))
     read = space.write(read, "read")
-    placed = running_totals(read, "_stream", "_draw", ["doc_id", "n_tokens"], "n_tokens")
+    placed = running_totals(space, read, "_stream", "_draw", ["doc_id", "n_tokens"], "n_tokens")
     # the whole passes before this one hold (pass - 1) times the source's tokens
     upto = F.col("before") + (F.col("pass") - 1) * F.col("total")
     kept = placed.withColumn("_place", upto / F.col("quota")).where((F.col("pass") == 1) | (F.col("_place") < 1))

@@ -86,7 +86,7 @@ def sharded(docs: DataFrame, tree: Tree, larger: Tree) -> DataFrame:
     placed = descend(descend(base, "_key", larger, "_grown_"), "_key", tree)
     placed = placed.withColumn("_draw", F.xxhash64(F.lit("slot"), "_key"))
     placed = space.write(placed.drop("_key", "_grown_region", "_grown_rack"), "placed")
-    slots = running_totals(placed, "shard", "_draw", ["doc_id", "text_crc32"], "size")
+    slots = running_totals(space, placed, "shard", "_draw", ["doc_id", "text_crc32"], "size")
     return slots.select(
         "doc_id",
         "size",

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 _LOCAL: dict[str, str] = {}
 
-# Rows that one task of ``running_totals`` orders, about.
-ROWS_PER_PIECE = 50_000
+# The sizes of up to so many groups, three values each, are broadcast.
+FEW_GROUPS = 10_000
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -59,17 +59,21 @@ def null_safe_key(column: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit("null"))
 
 
-def running_totals(df: DataFrame, group: str, draw: str, ties: list[str], value: str) -> DataFrame:
+def running_totals(space: Workspace, df: DataFrame, group: str, draw: str, ties: list[str], value: str) -> DataFrame:
     """Add ``row_no`` (from 0), ``before`` (sum of ``value`` over earlier rows), ``rows`` and ``total`` of the group.
 
     Rows of a group are ordered by the 64-bit hash ``draw``, then ``ties``. The
-    range of the hash is cut into pieces in proportion to the group's size;
-    only a piece is ordered in one task, and pieces are joined by their sums.
+    range of the hash is cut into as many pieces as a piece has rows, the square
+    root of the group's size, so that neither the rows of a piece nor the sums
+    of a group's pieces are many for the task that orders them.
     ``df`` is read three times: pass a written table. ``group`` and ``draw``
-    must not be null.
+    must not be null. The sizes of few groups are broadcast, so that no row is
+    shuffled by its group.
     """
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"), F.sum(value).alias("total"))
-    pieces = F.ceil(F.col("rows") / ROWS_PER_PIECE)
+    sizes = space.write(sizes, "sizes")
+    sizes = F.broadcast(sizes) if sizes.count() <= FEW_GROUPS else sizes
+    pieces = F.ceil(F.sqrt("rows"))
     cut = df.join(sizes, group).withColumn("_piece", F.floor(unit(F.col(draw)) * pieces))
     earlier = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -84,8 +88,10 @@ def running_totals(df: DataFrame, group: str, draw: str, ties: list[str], value:
     )
     inside = Window.partitionBy(group, "_piece").orderBy(F.shiftrightunsigned(draw, 1), draw, *ties)
     upto = inside.rowsBetween(Window.unboundedPreceding, -1)
+    # The windows of a group's pieces would also be content with the rows dealt out by group.
     return (
-        cut.join(offsets, [group, "_piece"])
+        cut.repartition(group, "_piece")
+        .join(offsets, [group, "_piece"])
         .withColumn("row_no", F.col("_rows_before") + F.row_number().over(inside) - 1)
         .withColumn("before", F.col("_before") + F.coalesce(F.sum(value).over(upto), F.lit(0)))
         .drop("_piece", "_rows_before", "_before")
