@@ -11,12 +11,13 @@ def cost_by_disaster(
     amount: str = "obligated_amount",
     category: str | None = None,
     categories: Sequence[str] = (),
+    rest: str | None = None,
 ) -> DataFrame:
     """Sum, count, mean and maximum of the amount, plus one sum per listed category.
 
     Totals and category sums come from one aggregation, so the projects are
     shuffled once and partly summed before that. A null category counts in the
-    totals only.
+    totals only. ``rest`` names a column for the sum of all categories not listed.
     """
     measures = [
         F.sum(amount).alias("total_obligated_amount"),
@@ -29,15 +30,27 @@ def cost_by_disaster(
             F.sum(F.when(F.col(category) == name, F.col(amount)).otherwise(0.0)).alias(f"cat_cost_{name}")
             for name in categories
         ]
+        if rest is not None:
+            listed = F.col(category).isin(*categories) if categories else F.col(category).isNull()
+            measures.append(F.sum(F.when(~listed, F.col(amount)).otherwise(0.0)).alias(rest))
     return projects.groupBy(key).agg(*measures)
 
 
 def category_names(projects: DataFrame, category: str, most: int = 1000) -> list[str]:
-    """The category labels present, sorted; an error if there are too many to be columns."""
-    rows = projects.select(category).where(F.col(category).isNotNull()).distinct().take(most + 1)
-    if len(rows) > most:
-        raise ValueError(f"{category} has more than {most} labels and cannot become columns")
-    return sorted(row[0] for row in rows)
+    """The category labels present, sorted; of more than ``most`` the most frequent, ties by label.
+
+    Sum the others with ``cost_by_disaster(rest=...)``, or take
+    ``cost_by_category``, which has no limit.
+    """
+    counted = projects.where(F.col(category).isNotNull()).groupBy(category).count()
+    return sorted(row[0] for row in counted.orderBy(F.desc("count"), F.asc(category)).limit(most).collect())
+
+
+def cost_by_category(
+    projects: DataFrame, key: str = "disasternumber", amount: str = "obligated_amount", category: str = "damagecategorycode"
+) -> DataFrame:
+    """Sum and count of the amount per disaster and category, in long form; null is a category."""
+    return projects.groupBy(key, category).agg(F.sum(amount).alias("obligated_amount"), F.count(amount).alias("project_count"))
 
 
 def cost_before_join(

@@ -9,6 +9,9 @@ from aftermath.operators.quantiles import exact_quantiles
 from aftermath.operators.ranking import same_keys
 from aftermath.session import small_side
 
+# A table is at most so many labels wide; what is beyond is counted together.
+WIDEST = 1000
+
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
@@ -20,12 +23,22 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(pairs.alias("_p")).groupBy("_p.column", "_p.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def crosstab(df: DataFrame, row: str, column: str, labels: Sequence[str]) -> DataFrame:
-    """Counts with one row per ``row`` value and one column per label, 0 where absent."""
+def crosstab(df: DataFrame, row: str, column: str, labels: Sequence[str] | None = None, rest: str = "other") -> DataFrame:
+    """Counts with one row per ``row`` value and one column per label, 0 where absent.
+
+    Without ``labels`` the ``WIDEST`` most frequent ones in ``df`` are taken, in
+    order; that runs a job. Column ``rest`` counts every other label and null,
+    so the columns of a row add up to its rows.
+    """
+    if labels is None:
+        counted = df.where(F.col(row).isNotNull() & F.col(column).isNotNull()).groupBy(column).count()
+        found = counted.orderBy(F.desc("count"), F.asc(column)).limit(WIDEST).collect()
+        labels = sorted(r[0] for r in found)
+    listed = F.coalesce(F.col(column).isin(*labels), F.lit(False)) if labels else F.lit(False)
     return (
         df.where(F.col(row).isNotNull())
         .groupBy(row)
-        .agg(*[F.count_if(F.col(column) == label).alias(label) for label in labels])
+        .agg(*[F.count_if(F.col(column) == label).alias(label) for label in labels], F.count_if(~listed).alias(rest))
     )
 
 

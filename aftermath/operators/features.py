@@ -122,15 +122,18 @@ def high_cost_flag(df: DataFrame, total: str, limit: float = HIGH_COST) -> DataF
 
 
 def category_code(df: DataFrame, column: str, code: str, labels: Sequence[str] | None = None) -> DataFrame:
-    """Alphabetical 0-based code of a column whose labels come from a small fixed table.
+    """Alphabetical 0-based code of a column. Null is -1, as is a label not in ``labels``.
 
     By default codes count the labels present in ``df``, so they shift when one
-    is absent; pass ``labels`` for codes that stay put. Null is -1.
+    is absent; pass ``labels`` for codes that stay put. The labels present may
+    be many: they are numbered by ``with_position``, which runs a job when
+    called, and joined back.
     """
     if labels is None:
-        present = df.agg(F.array_sort(F.collect_set(column))).scalar()
-    else:
-        present = F.array(*[F.lit(label) for label in sorted(labels)])
+        present = with_position(df.select(column).where(F.col(column).isNotNull()).distinct(), [column], name=code)
+        joined = df.join(present, column, "left")
+        return joined.select(*df.columns, F.coalesce(F.col(code).cast("int"), F.lit(-1)).alias(code))
+    present = F.array(*[F.lit(label) for label in sorted(labels)])
     return df.withColumn(
         code, F.coalesce((F.array_position(present, F.col(column)) - 1).cast("int"), F.lit(-1))
     )

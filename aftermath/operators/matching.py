@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aftermath.functions.dates import day_blocks, day_number, in_blocks
 from aftermath.session import small_side
@@ -17,6 +17,18 @@ LOW_MATCH_PERCENT = 30.0
 TOP_BLOCK = 5
 
 
+# Pieces of a window that are no blocks of days: the rest of its first day, the begin of its last.
+START_EDGE, END_EDGE = -1, -2
+
+
+def _totals() -> list[Column]:
+    return [F.max("_wind").alias("_wind"), F.sum("_flood").alias("_flood"), F.sum("_events").alias("_events")]
+
+
+def _micros(time: str) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(time).cast("timestamp_ntz"))
+
+
 def with_window(df: DataFrame, begin: str, end: str, days: int = BUFFER_DAYS) -> DataFrame:
     """Add the match window: begin and end (or begin, if open) widened by ``days``."""
     buffer = F.make_dt_interval(F.lit(days))
@@ -105,6 +117,45 @@ def summarise_matches(
     )
 
 
+def _block_measures(instants: DataFrame, windows: DataFrame, place: str, time: str) -> DataFrame:
+    """What the events of each piece of a window add up to, as (place, _level, _block, measures).
+
+    Levels 0 to ``TOP_BLOCK`` are aligned blocks of whole days. Level -1 is the
+    rest of the day a window starts in, level -2 the day a window ends in up to
+    that end; their block is the window's own time. Both come from running
+    totals over one place and day.
+    """
+    whole = in_blocks(
+        instants.withColumn("_day", F.col(time).cast("date")).groupBy(place, "_day").agg(*_totals()), "_day", TOP_BLOCK
+    )
+    whole = whole.groupBy(place, "_level", "_block").agg(*_totals())
+    ends = F.array(
+        F.struct(F.lit(START_EDGE).alias("_level"), F.col("window_start").alias("_time")),
+        F.struct(F.lit(END_EDGE).alias("_level"), F.col("window_end").alias("_time")),
+    )
+    marks = windows.select(place, F.explode(ends).alias("_m")).select(place, "_m.*").distinct()
+    lined = marks.unionByName(
+        instants.select(place, F.col(time).alias("_time"), "_wind", "_flood", "_events"), allowMissingColumns=True
+    ).withColumn("_day", F.col("_time").cast("date"))
+    within = Window.partitionBy(place, "_day")
+    upto = within.orderBy("_time").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    since = within.orderBy(F.desc("_time")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def running(total: str, measure) -> Column:
+        start = F.col("_level") == START_EDGE
+        return F.when(start, measure(total).over(since)).otherwise(measure(total).over(upto)).alias(total)
+
+    edges = lined.select(
+        place,
+        "_level",
+        _micros("_time").alias("_block"),
+        running("_wind", F.max),
+        running("_flood", F.sum),
+        running("_events", F.sum),
+    )
+    return whole.unionByName(edges.where("_level IS NOT NULL AND _events IS NOT NULL"))
+
+
 def storm_exposure(
     declarations: DataFrame,
     events: DataFrame,
@@ -115,13 +166,17 @@ def storm_exposure(
     end: str = "incidentenddate",
     event_begin: str = "event_begin",
     days: int = BUFFER_DAYS,
-    bucket_days: int = 30,
 ) -> DataFrame:
     """What ``summarise_matches(match_events(...))`` gives, without building the pairs.
 
     Events are first reduced to one row per place and begin time, and windows to
-    the distinct ones of a place. What the join compares is bounded by the
-    calendar then, however many events and declarations a place has.
+    the distinct ones of a place. A window is then cut into the rest of its
+    first day, aligned blocks of whole days and the begin of its last day, and
+    meets the totals of these pieces by equality, so the work grows with the
+    windows and the events, not with their product, and a busy place is spread
+    over its days. Only windows within one day, which no buffer of whole days
+    gives unless an incident ends before it begins, are compared with that
+    day's events one by one.
     """
     spans = (
         declarations.select(key, place, begin, end)
@@ -139,16 +194,21 @@ def storm_exposure(
             F.count(F.lit(1)).alias("_events"),
         )
     )
-    windows = spans.select(place, "window_start", "window_end").distinct()
-    per_window = (
-        match_events(windows, instants, place, event_begin, bucket_days=bucket_days)
-        .groupBy(place, "window_start", "window_end")
-        .agg(
-            F.max("_wind").alias("_wind"),
-            F.sum("_flood").alias("_flood"),
-            F.sum("_events").alias("_events"),
-        )
+    windows = spans.select(place, "window_start", "window_end").where("window_start <= window_end").distinct()
+    first, last = F.col("window_start").cast("date"), F.col("window_end").cast("date")
+    window = [place, "window_start", "window_end"]
+    long = windows.where(first < last)
+    inner = long.withColumns({"_first": F.date_add(first, 1), "_last": F.date_sub(last, 1)})
+    edges = F.array(
+        F.struct(F.lit(START_EDGE).alias("_level"), _micros("window_start").alias("_block")),
+        F.struct(F.lit(END_EDGE).alias("_level"), _micros("window_end").alias("_block")),
     )
+    pieces = day_blocks(inner, "_first", "_last", TOP_BLOCK).select(*window, "_level", F.col("_block").cast("long").alias("_block"))
+    pieces = pieces.unionByName(long.select(*window, F.explode(edges).alias("_e")).select(*window, "_e.*"))
+    met = pieces.join(_block_measures(instants, long, place, event_begin), [place, "_level", "_block"])
+    short = match_events(windows.where(first == last), instants, place, event_begin, bucket_days=1)
+    measured = [*window, "_wind", "_flood", "_events"]
+    per_window = met.select(*measured).unionByName(short.select(*measured)).groupBy(*window).agg(*_totals())
     return (
         spans.join(per_window, [place, "window_start", "window_end"])
         .groupBy(key)

@@ -17,7 +17,7 @@ def same_keys(left: str, right: str, names: Sequence[str]) -> Column:
 
 def with_position(
     df: DataFrame,
-    order: Sequence[str],
+    order: Sequence[str | Column],
     group: Sequence[str] = (),
     name: str = "position",
     parts: int | None = None,
@@ -69,12 +69,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 def share_of_total(df: DataFrame, value: str, order: Sequence[Column], digits: int = 2) -> DataFrame:
     """Rank rows and give each its percentage of the column total.
 
-    Meant for report tables of one row per feature or category: the rank is a
-    global one.
+    The rank is a global one; it comes from ``with_position``, which runs a job
+    when called, so no task orders all rows.
     """
     total = df.agg(F.sum(value)).scalar()
-    return df.select(
-        "*",
-        F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"),
+    return with_position(df, order, name="rank").select(
+        *df.columns,
+        (F.col("rank") + 1).cast("long").alias("rank"),
         F.round(F.try_divide(F.col(value), total) * 100, digits).alias(f"{value}_pct"),
     )

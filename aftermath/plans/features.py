@@ -72,7 +72,7 @@ def build(
     usable = cleaning.clean_projects(projects)
     if category in usable.columns:
         cost = costs.cost_by_disaster(
-            usable, category=category, categories=costs.category_names(usable, category)
+            usable, category=category, categories=costs.category_names(usable, category), rest="cat_cost_other"
         )
     else:
         cost = costs.cost_by_disaster(usable)

@@ -31,6 +31,7 @@ timed AS (
   FROM decl
 )"""
 CTES = (DECLARATIONS_SQL, TIMED_SQL)
+OTHER_KINDS = f", count(*) FILTER (WHERE coalesce(incidenttype NOT IN ({', '.join(repr(k) for k in KINDS)}), TRUE)) AS other"
 
 
 def value_counts(spark, folder):
@@ -53,6 +54,7 @@ def crosstab_season(spark, folder):
 CROSSTAB_SEASON = with_ctes(
     " SELECT season, "
     + ", ".join(f"count(*) FILTER (WHERE incidenttype = '{kind}') AS \"{kind}\"" for kind in KINDS)
+    + OTHER_KINDS
     + " FROM timed GROUP BY season",
     *CTES,
 )
@@ -81,6 +83,7 @@ def topk_states(spark, folder):
 TOPK_STATES = with_ctes(
     " SELECT state, "
     + ", ".join(f"count(*) FILTER (WHERE incidenttype = '{kind}') AS \"{kind}\"" for kind in KINDS)
+    + OTHER_KINDS
     + " FROM timed WHERE state IN (SELECT state FROM timed GROUP BY 1 ORDER BY count(*) DESC, state LIMIT 10) GROUP BY state",
     *CTES,
 )
@@ -163,8 +166,7 @@ DESCRIBE_BY_TYPE = with_ctes(
 
 
 def profile(spark, folder):
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    return explore.profile(table(spark, folder, "orders"), columns)
+    return explore.profile(table(spark, folder, "orders"))
 
 
 PROFILE = " UNION ALL ".join(
@@ -175,6 +177,7 @@ PROFILE = " UNION ALL ".join(
         ("o_custkey", "bigint"),
         ("o_orderstatus", "string"),
         ("o_totalprice", "double"),
+        ("o_orderdate", "timestamp_ntz"),
         ("o_orderpriority", "string"),
     )
 )

@@ -159,21 +159,8 @@ WHOLE = (
     "state_disaster_frequency rainfall_intensity wind_speed flood_severity storm_event_count project_count max_project_cost "
     "summary_total_obligations high_discrepancy_flag region_encoded"
 ).split()
-FLAGS = (
-    "hurricane flood tornado severe_storm severe_ice_storm fire drought snowstorm biological dam/levee_break"
-).replace("/", "_").split()
-LABELS = (
-    "Hurricane",
-    "Flood",
-    "Tornado",
-    "Severe Storm",
-    "Severe Ice Storm",
-    "Fire",
-    "Drought",
-    "Snowstorm",
-    "Biological",
-    "Dam/Levee Break",
-)
+# The flags of the most frequent types, named by rank: which types they are depends on the data.
+RANKS = range(1, features.TOP_TYPES + 1)
 
 
 def feature_table(spark, folder):
@@ -187,13 +174,13 @@ def feature_table(spark, folder):
         cost,
         cleaning.clean_summaries(summaries(spark, folder)),
         climate(spark, folder, landed),
-        labels=LABELS,
     )
+    flags = dict(enumerate((c for c in built.columns if c.startswith("is_")), 1))
     return built.select(
         *WHOLE,
         *[F.round(c, 6).alias(c) for c in SIX],
         *[F.round(c, 2).alias(c) for c in TWO],
-        *[f"is_{name}" for name in FLAGS],
+        *[(F.col(flags[k]) if k in flags else F.lit(0)).alias(f"is_type_{k}") for k in RANKS],
     )
 
 
@@ -209,8 +196,13 @@ scored AS (
   SELECT kept.*, {SCORE_SQL} AS score, year(declarationdate) AS y, month(declarationdate) AS m, quarter(declarationdate) AS q
   FROM kept, bounds
 )"""
+FREQUENT_SQL = """
+frequent AS (
+  SELECT incidenttype AS label, row_number() OVER (ORDER BY count(*) DESC, incidenttype) AS k
+  FROM filled WHERE incidenttype IS NOT NULL GROUP BY 1
+)"""
 FLAG_SQL = ",\n       ".join(
-    f"CAST(incidenttype = '{label}' AS INT) AS is_{flag}" for label, flag in zip(LABELS, FLAGS)
+    f"CAST(coalesce(incidenttype = (SELECT label FROM frequent WHERE k = {k}), FALSE) AS INT) AS is_type_{k}" for k in RANKS
 )
 # The exposures are matched for all declarations; only accepted types enter the table.
 FEATURE_TABLE = with_ctes(
@@ -239,6 +231,7 @@ FROM scored JOIN cost ON scored.disasternumber = cost.disasternumber
                        "FROM decl LEFT JOIN climate ON decl.disasternumber = climate.disasternumber "
                        "WHERE declarationtype IN ('DR', 'EM', 'FM')"),
     SCORED_SQL,
+    FREQUENT_SQL,
     PROJECTS_SQL,
     SUMMARIES_SQL,
     COST_SQL,

@@ -53,8 +53,15 @@ def test_amount_candidates_in_order_and_error(spark):
     assert cleaning.clean_projects(both).head().obligated_amount == 9.0
     with pytest.raises(ValueError):
         cleaning.clean_projects(spark.createDataFrame([(1,)], "disasternumber long"))
-    with pytest.raises(ValueError, match="cannot become columns"):
-        costs.category_names(spark.range(50).select(F.col("id").cast("string").alias("c")), "c", most=10)
+
+
+def test_many_categories_lose_no_cost(spark):
+    rows = spark.range(50).selectExpr("1L AS disasternumber", "1.0D AS obligated_amount", "cast(id AS string) AS c")
+    names = costs.category_names(rows.unionAll(rows.where("c = '7'")), "c", most=10)
+    assert len(names) == 10 and "7" in names
+    row = costs.cost_by_disaster(rows, category="c", categories=names, rest="cat_cost_other").head()
+    assert row.cat_cost_other == 40.0 and row.cat_cost_7 == 1.0
+    assert costs.cost_by_category(rows, category="c").count() == 50
 
 
 def test_summaries_recognise_the_fetched_total(spark):
