@@ -42,6 +42,16 @@ def merge_staged(spark: SparkSession, root: str, spec: DatasetSpec, buckets: int
     return reports
 
 
+def discard_merged(spark: SparkSession, root: str, spec: DatasetSpec) -> list[str]:
+    """Delete the staged runs that a commit names, and give their names."""
+    removed = []
+    for row in store_of(spark, root, spec).log.sources().orderBy("source").collect():  # one entry per ingest run
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/staging/{spec.name}/run={row.source}")
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+            removed.append(row.source)
+    return removed
+
+
 def statistics(spark: SparkSession, root: str, spec: DatasetSpec) -> dict:
     """Existence, rows, size, key, cursor and mark of a stored dataset."""
     store = store_of(spark, root, spec)

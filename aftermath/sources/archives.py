@@ -3,7 +3,6 @@
 import logging
 from collections.abc import Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aftermath.functions.text import numeric
@@ -37,24 +36,45 @@ STATION_FIELDS = {
 STATION_NUMBERS = ("LATITUDE", "LONGITUDE", "ELEVATION")
 
 
-def read_storm_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def unreadable(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """The files that cannot be read to their end, and why.
+
+    All files are read in one job; only if that fails is each tried by itself.
+    """
+
+    def read(*some: str) -> None:
+        spark.read.option("ignoreCorruptFiles", False).text(list(some)).write.format("noop").mode("overwrite").save()
+
+    found: dict[str, str] = {}
+    try:
+        if paths:
+            read(*paths)
+    except Exception:  # the reader's errors and those of Java come as different classes
+        for path in paths:
+            try:
+                read(path)
+            except Exception as error:
+                found[path] = str(error).splitlines()[0]
+    return found
+
+
+def read_storm_files(spark: SparkSession, paths: Sequence[str], rejects: str | None = None) -> DataFrame:
     """Yearly CSV files with header, reduced to the columns in use.
 
     Files of different years may order or lack columns, so each is read by its
     own header and united by name. There is one file per year; the loop only
-    builds the plan. A file whose header cannot be read is skipped with a
-    warning; one that breaks off later gives the rows before the break.
+    builds the plan. A file without a header, or one that cannot be read to its
+    end (a job reads all files when this is called), gives no rows at all: it is
+    named in a warning and, with its reason, in the JSON folder ``rejects``.
     """
-    frames = []
+    frames, refused = [], unreadable(spark, paths)
     for path in paths:
-        try:
-            raw = spark.read.options(header=True, multiLine=True, escape='"', ignoreCorruptFiles=True).csv(path)
-        except PySparkException as error:
-            logger.warning("skipping %s: %s", path, error)
+        if path in refused:
             continue
+        raw = spark.read.options(header=True, multiLine=True, escape='"', ignoreCorruptFiles=False).csv(path)
         found = {name.strip().upper(): name for name in raw.columns}
         if not found:
-            logger.warning("skipping %s: no header", path)
+            refused[path] = "no header"
             continue
         frames.append(
             raw.select(
@@ -64,6 +84,10 @@ def read_storm_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
                 ]
             )
         )
+    for path, reason in refused.items():
+        logger.warning("skipping %s: %s", path, reason)
+    if rejects is not None and refused:
+        spark.createDataFrame(list(refused.items()), "path string, reason string").coalesce(1).write.mode("append").json(rejects)
     if not frames:
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in STORM_COLUMNS]))
     united = frames[0]

@@ -16,17 +16,18 @@ from aftermath.session import durable
 from aftermath.sources.tables import path_exists
 
 COMMIT_SCHEMA = (
-    "version long, bucket int, data_version long, source string, mark_time string, mark_key string, layout string"
+    "version long, bucket int, data_version long, source string, mark_time string, mark_key string, layout string, width int"
 )
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """Last version, column layout (None before the first commit) and data version per bucket."""
+    """Last version, column layout (None before the first commit), data version per bucket and number of buckets."""
 
     version: int
     layout: T.StructType | None
     buckets: dict[int, int]
+    width: int | None = None
 
 
 class CommitLog:
@@ -46,14 +47,14 @@ class CommitLog:
         newest = (
             self.rows()
             .groupBy("bucket")
-            .agg(F.max("data_version").alias("data_version"), F.max(F.struct("version", "layout")).alias("last"))
+            .agg(F.max("data_version").alias("data_version"), F.max(F.struct("version", "layout", "width")).alias("last"))
             .collect()
         )
         if not newest:
             return Snapshot(0, None, {})
         last = max((row.last for row in newest), key=lambda entry: entry.version)
         versions = {row.bucket: row.data_version for row in newest if row.bucket >= 0}
-        return Snapshot(last.version, T.StructType.fromJson(json.loads(last.layout)), versions)
+        return Snapshot(last.version, T.StructType.fromJson(json.loads(last.layout)), versions, last.width)
 
     def sources(self) -> DataFrame:
         return self.rows().where("source IS NOT NULL").select("source").distinct()
@@ -63,16 +64,13 @@ class CommitLog:
         self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.path)
 
 
-
-
-
-
 @dataclass
 class KeyedStore:
     """One dataset with a unique key and a cursor that orders its versions.
 
-    ``buckets`` is fixed at creation; choose it so that a bucket is a few
-    hundred megabytes.
+    ``buckets`` is fixed at creation and recorded with each commit; choose it so
+    that a bucket is a few hundred megabytes. An upsert with another number is
+    an error, because keys would be looked for in the wrong buckets.
     """
 
     spark: SparkSession
@@ -123,6 +121,9 @@ class KeyedStore:
         after a failure at any point. ``arrival`` names a column that decides
         between rows of equal cursor within the batch; it is not stored.
         """
+        state = self.log.snapshot()
+        if state.width not in (None, self.buckets):
+            raise ValueError(f"{self.root} has {state.width} buckets, not {self.buckets}")
         sizes = self.bucketed(incoming.select(self.key)).groupBy("bucket", F.col(self.key).isNull().alias("no_key"))
         counts = sizes.agg(F.count(F.lit(1)).alias("n")).collect()  # at most two rows per bucket
         wanted = [r.bucket for r in counts if not r.no_key]
@@ -130,7 +131,6 @@ class KeyedStore:
         rows = incoming.where(F.col(self.key).isNotNull())
         if arrival is not None:
             rows = merging.keep_latest(rows, [self.key], self.cursor, [arrival]).drop(arrival)
-        state = self.log.snapshot()
         stored = self._at(state, wanted)
         if stored is None:
             stored = self.spark.createDataFrame([], rows.schema)
@@ -176,11 +176,28 @@ class KeyedStore:
             layout = T.StructType([f for f in final.schema if f.name != "bucket"])
         if touched or source is not None:
             layout = layout or rows.schema
-            entries = [(version + 1, b, version + 1, source, *mark, layout.json()) for b in touched]
-            entries = entries or [(version + 1, -1, version + 1, source, *mark, layout.json())]
+            entries = [(version + 1, b, version + 1, source, *mark, layout.json(), self.buckets) for b in touched]
+            entries = entries or [(version + 1, -1, version + 1, source, *mark, layout.json(), self.buckets)]
             self.log.append(entries)
         return report
 
+    def discard_replaced(self) -> int:
+        """Delete bucket versions that no current read needs; their number.
+
+        Call it when nobody reads an older state any more.
+        """
+        current = {(version, bucket) for bucket, version in self.log.snapshot().buckets.items()}
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")
+        system = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = (system.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/v=*/bucket=*")) or []) if current else []
+        removed = 0
+        for status in found:
+            path = status.getPath()
+            version, bucket = (int(x.split("=")[1]) for x in path.toString().rsplit("/", 2)[1:])
+            if (version, bucket) not in current:
+                removed += system.delete(path, True)
+        return removed
+
 
 def publish(df: DataFrame, root: str) -> int:
     """Replace a whole table: write a new version, then make it current."""
@@ -188,7 +205,7 @@ def publish(df: DataFrame, root: str) -> int:
     log = CommitLog(spark, root)
     version = log.snapshot().version + 1
     df.write.mode("overwrite").option("compression", "gzip").parquet(f"{root}/data/v={version}")
-    log.append([(version, 0, version, None, None, None, df.schema.json())])
+    log.append([(version, 0, version, None, None, None, df.schema.json(), None)])
     return version
 
 

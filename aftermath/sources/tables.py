@@ -5,6 +5,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from aftermath.spec import DatasetSpec, conform
 
 
+BROKEN = "_broken_page"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system its scheme names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -43,13 +46,30 @@ def unwrap_records(df: DataFrame) -> DataFrame:
     raise ValueError(f"no list of records among fields {df.columns}")
 
 
-def read_landed_json(spark: SparkSession, path: str, spec: DatasetSpec, strict: bool = False) -> DataFrame:
+def read_landed_json(spark: SparkSession, path: str, spec: DatasetSpec, rejects: str | None = None) -> DataFrame:
     """Landed API responses of a dataset, unwrapped and conformed.
 
-    ``strict`` makes a file that is not valid JSON an error; otherwise it gives no rows.
+    A page that is not valid JSON is an error. With ``rejects`` it is left out
+    as a whole and named in that JSON folder instead, with what it holds. Pages
+    of empty lists have no rows.
     """
-    mode = "FAILFAST" if strict else "DROPMALFORMED"
-    return conform(unwrap_records(spark.read.option("multiLine", True).option("mode", mode).json(path)), spec)
+    mode = "FAILFAST" if rejects is None else "PERMISSIVE"
+    pages = spark.read.options(multiLine=True, mode=mode, columnNameOfCorruptRecord=BROKEN).json(path)
+    if BROKEN in pages.columns:
+        fields = [c for c in pages.columns if c != BROKEN]
+        # Spark answers questions about broken text only beside another field.
+        bad = pages.select(F.col("_metadata.file_path").alias("path"), F.col(BROKEN).alias("page"), F.to_json(F.struct(*fields)).alias("read")) if fields else (
+            spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("page"))
+        )
+        bad.where("page IS NOT NULL").write.mode("append").json(rejects)
+        if not fields:
+            return spark.createDataFrame([], spec.schema)
+        pages = pages.where(F.col(BROKEN).isNull()).drop(BROKEN)
+    lists = [f for f in pages.schema if isinstance(f.dataType, T.ArrayType)]
+    if lists and not any(isinstance(f.dataType.elementType, T.StructType) for f in lists):
+        if pages.where(" OR ".join(f"size(`{f.name}`) > 0" for f in lists)).isEmpty():
+            return spark.createDataFrame([], spec.schema)
+    return conform(unwrap_records(pages), spec)
 
 
 def sizes(df: DataFrame) -> DataFrame:

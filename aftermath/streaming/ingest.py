@@ -1,14 +1,18 @@
 """The streaming ingest: envelopes in, keyed stores out."""
 
-import json
+import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aftermath.plans.ingest import store_of
+from aftermath.sources.tables import path_exists
 from aftermath.spec import REGISTRY
 from aftermath.streaming import envelope
 
+OUTCOMES = ("new", "updated", "unchanged", "stale", "duplicates", "without_key")
+METRICS = "started_at timestamp, duration_ms long, records long, bad long, " + ", ".join(f"{x} long" for x in OUTCOMES)
+
 
 def envelopes(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """A folder of JSON-lines files, one envelope per line, as a stream."""
@@ -29,15 +33,17 @@ def kafka_envelopes(spark: SparkSession, servers: str, topic: str, records_per_b
 
 
 def apply_batch(root: str, buckets: int = 64):
-    """The foreachBatch step: validate, set bad envelopes aside, upsert each dataset.
+    """The foreachBatch step: validate, set bad envelopes aside, upsert each dataset, write the counts.
 
     Offsets are committed by Spark after this step returns. A retry repeats the
     step with the same rows: the upsert then finds them unchanged, and the
-    quarantine folder of the batch is overwritten with the same content.
+    quarantine folder of the batch is overwritten with the same content. So are
+    its metrics, in which rows of the first try count as unchanged.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        began, reports = time.time(), []
         judged = envelope.validate(batch).persist()
         try:
             counts = {
@@ -56,7 +62,16 @@ def apply_batch(root: str, buckets: int = 64):
             for name, spec in REGISTRY.items():
                 if name in counts:
                     rows = envelope.records(judged, spec, ["ingested_at"])
-                    store_of(spark, root, spec, buckets).upsert(rows, arrival="ingested_at")
+                    reports.append(store_of(spark, root, spec, buckets).upsert(rows, arrival="ingested_at"))
+            told = [sum(report[x] for report in reports) for x in OUTCOMES]
+            spent = int((time.time() - began) * 1000)
+            row = spark.range(1).select(
+                *(
+                    F.lit(value).cast(kind.split()[1]).alias(kind.split()[0])
+                    for kind, value in zip(METRICS.split(", "), [began, spent, sum(counts.values()), counts.get(None, 0), *told])
+                )
+            )
+            row.write.mode("overwrite").json(f"{root}/metrics/batch={batch_id}")
         finally:
             judged.unpersist()
 
@@ -69,21 +84,11 @@ def run(stream: DataFrame, root: str, checkpoint: str, buckets: int = 64, until_
     return (writer.trigger(availableNow=True) if until_drained else writer).start()
 
 
-def run_metrics(query: StreamingQuery) -> DataFrame:
-    """Records and rates of each finished micro-batch, as rows for a metrics table."""
-    spark = SparkSession.active()
-    rows = []
-    for progress in query.recentProgress:
-        entry = progress if isinstance(progress, dict) else json.loads(progress.json)
-        rows.append(
-            (
-                entry["batchId"],
-                entry["timestamp"],
-                int(entry["numInputRows"]),
-                float(entry.get("processedRowsPerSecond") or 0.0),
-                int(entry["durationMs"].get("triggerExecution", 0)),
-            )
-        )
-    return spark.createDataFrame(
-        rows, "batch_id long, started_at string, records long, records_per_second double, duration_ms long"
-    )
+def run_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """One row for each micro-batch ever finished under ``root``: counts by outcome, bad envelopes, time and rate."""
+    if not path_exists(spark, f"{root}/metrics"):
+        rows = spark.createDataFrame([], f"{METRICS}, batch long")
+    else:
+        rows = spark.read.schema(f"{METRICS}, batch long").json(f"{root}/metrics")
+    rate = F.try_divide(F.col("records") * 1000.0, F.col("duration_ms"))
+    return rows.withColumnRenamed("batch", "batch_id").withColumn("records_per_second", rate)

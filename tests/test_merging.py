@@ -119,6 +119,21 @@ def test_data_without_a_commit_is_not_read(spark, store):
     assert contents(store.read()) == [(1, "b", "y")]
 
 
+def test_another_number_of_buckets_is_refused(spark, store):
+    store.upsert(frame(spark, (1, "a", "x")))
+    other = KeyedStore(spark, store.root, "k", "t", buckets=8)
+    with pytest.raises(ValueError, match="4 buckets"):
+        other.upsert(frame(spark, (1, "b", "y")))
+
+
+def test_replaced_versions_can_be_discarded(spark, store):
+    store.upsert(frame(spark, *[(i, "a", "x") for i in range(40)]))
+    store.upsert(frame(spark, (7, "b", "y")))
+    before = contents(store.read())
+    assert store.discard_replaced() == 1 and store.discard_replaced() == 0
+    assert contents(store.read()) == before
+
+
 def test_numeric_keys_order_as_numbers_in_the_mark(spark, store):
     store.upsert(frame(spark, (9, "a", "x")))
     store.upsert(frame(spark, (10, "a", "x")))
@@ -151,8 +166,13 @@ def test_landed_json_is_unwrapped_and_conformed(spark, tmp_path):
     assert sorted((r.disasterNumber, r.totalObligatedAmountPa) for r in got.collect()) == [(12, 5.0), (13, None)]
     (tmp_path / "q.json").write_text('{"metadata": {"skip": 0}, "Summaries": [{"disasterNumber"')
     with pytest.raises(Exception):
-        tables.read_landed_json(spark, str(tmp_path / "*.json"), DISASTER_SUMMARIES, strict=True).collect()
-    assert tables.read_landed_json(spark, str(tmp_path / "*.json"), DISASTER_SUMMARIES).count() == 2
+        tables.read_landed_json(spark, str(tmp_path / "*.json"), DISASTER_SUMMARIES).collect()
+    rejects = str(tmp_path / "rejects")
+    assert tables.read_landed_json(spark, str(tmp_path / "*.json"), DISASTER_SUMMARIES, rejects).count() == 2
+    assert [r.path.endswith("q.json") for r in spark.read.json(rejects).collect()] == [True]
+    (tmp_path / "none.json").write_text('{"metadata": {"skip": 9}, "Summaries": []}')
+    empty = tables.read_landed_json(spark, str(tmp_path / "none.json"), DISASTER_SUMMARIES)
+    assert empty.columns == DISASTER_SUMMARIES.columns and empty.count() == 0
     with pytest.raises(ValueError, match="no list"):
         tables.unwrap_records(spark.range(1))
 
@@ -184,6 +204,14 @@ def test_archive_readers(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     mixed = [str(tmp_path / name) for name in ("c.csv.gz", "empty.csv", "absent.csv.gz", "a.csv.gz")]
     assert archives.read_storm_files(spark, mixed).count() == 1
+    with gzip.open(tmp_path / "long.csv.gz", "wt") as out:
+        out.write("CZ_TYPE,STATE_FIPS,CZ_FIPS\n" + "".join(f"C,48,{(k * 7919) % 997}\n" for k in range(20000)))
+    whole = (tmp_path / "long.csv.gz").read_bytes()
+    (tmp_path / "cut.csv.gz").write_bytes(whole[: len(whole) // 2])
+    rejects = str(tmp_path / "rejects")
+    assert archives.read_storm_files(spark, [str(tmp_path / "cut.csv.gz"), *mixed], rejects).count() == 1
+    refused = {r.path.rsplit("/", 1)[1]: r.reason for r in spark.read.json(rejects).collect()}
+    assert set(refused) == {"cut.csv.gz", "c.csv.gz", "empty.csv", "absent.csv.gz"} and all(refused.values())
     line = "US000000001  12.5000 -101.5000   30.5 TX SOMEWHERE NAME                "
     (tmp_path / "stations.txt").write_text(line + "\n")
     station = archives.read_stations(spark, str(tmp_path / "stations.txt")).head()

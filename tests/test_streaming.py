@@ -55,13 +55,13 @@ def test_stream_routes_validates_and_resumes(spark, tmp_path):
     source, root, checkpoint = tmp_path / "in", tmp_path / "out", tmp_path / "ckpt"
     write(source, "a", GOOD[:3] + BAD)
     write(source, "b", GOOD[3:])
-    query = drain(spark, source, root, checkpoint)
+    drain(spark, source, root, checkpoint)
     assert summaries(spark, root) == EXPECTED
     assert store_of(spark, str(root), DECLARATIONS).read().count() == 1
     quarantined = spark.read.json(str(root / "quarantine"))
     assert quarantined.count() == len(BAD)
-    metrics = ingest.run_metrics(query).agg(F.sum("records").alias("n")).head()
-    assert metrics.n == len(GOOD) + len(BAD)
+    metrics = ingest.run_metrics(spark, str(root)).agg(F.sum("records").alias("n"), F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("m")).head()
+    assert (metrics.n, metrics.bad, metrics.m) == (len(GOOD) + len(BAD), len(BAD), 2)
 
     write(source, "c", [summary(2, "2024-05-01", 7.0)])
     drain(spark, source, root, checkpoint)
