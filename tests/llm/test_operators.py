@@ -9,8 +9,9 @@ import zipfile
 import pyarrow as pa
 import pytest
 
-from aftermath.llm import chaining, decontaminate, mixing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity, warc_zip
+from aftermath.llm import chaining, decontaminate, mixing, quality, queries, secret_scan, shared, sharding, simhash, suffix_dedup, toxicity, warc_zip
 from aftermath.llm.shared import Workspace
+from tests.compare import DATA, compare, duck
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, shard int, slot long, key long, name string"
 WORDS = [f"w{i}" for i in range(400)]
@@ -207,3 +208,23 @@ def test_zip64_directory(tmp_path, monkeypatch):
     for name in ("one", "two"):
         begin, length = found[name]
         assert raw[begin : begin + length].decode() == name * 100
+
+
+def test_running_totals_of_few_and_of_many_groups(spark, monkeypatch):
+    rows = spark.range(600).selectExpr("if(id < 400, 0, id % 7) AS g", "xxhash64(id) AS draw", "id", "id % 5 AS v")
+    space = shared.Workspace(spark, "totals")
+    rows = space.write(rows, "rows")
+    expected = {}
+    for g, draw, i, v in sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[1] % (1 << 64), r[2])):
+        before = expected.setdefault(g, [])
+        before.append((i, len(before), sum(x[3] for x in before), v))
+    want = {(g, i, n, b) for g, found in expected.items() for i, n, b, _ in found}
+    for few in (10_000, 0):
+        monkeypatch.setattr(shared, "FEW_GROUPS", few)
+        space = shared.Workspace(spark, "totals")
+        got = shared.running_totals(space, rows, "g", "draw", ["id"], "v")
+        assert {(r.g, r.id, r.row_no, r.before) for r in got.collect()} == want
+
+
+def test_warc_query_agrees_with_its_sql(spark):
+    assert compare(queries.op1_warc(spark, str(DATA / "sf0.001")), duck(DATA / "sf0.001"), queries.OP1_WARC) is None
