@@ -30,23 +30,28 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage there.
+def shared_root(spark: SparkSession) -> str:
+    """The shared checkpoint folder of the session.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
     local session without that setting gets a folder of its own; on a cluster a
     missing setting is an error, because a machine-local folder would not
     survive the loss of an executor.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not (context.master == "local" or context.master.startswith("local[")):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="aftermath-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and cut its lineage there."""
+    shared_root(df.sparkSession)
     return df.checkpoint()
 
 

@@ -1,5 +1,5 @@
 """Bindings of the operators to the test tables, each with equivalent SQL."""
 
-from queries import clean, explore, incremental, match, model, table_features
+from queries import clean, explore, incremental, ingest, match, model, table_features
 
-MODULES = (clean, match, table_features, incremental, explore, model)
+MODULES = (clean, match, table_features, incremental, ingest, explore, model)

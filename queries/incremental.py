@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F, types as T
 
 from aftermath.operators import cursors, merging
-from aftermath.session import durable
+from aftermath.session import durable, shared_root
 from aftermath.sources.store import KeyedStore
 from aftermath.sources.tables import sizes, unwrap_records
 from aftermath.spec import DatasetSpec
@@ -91,8 +91,7 @@ FROM {newest_sql(INCOMING_SQL)} i LEFT JOIN {newest_sql(STORED_SQL)} e
 
 def upsert(spark, folder):
     """Two upserts into a bucketed store, then a third that repeats the second."""
-    durable(spark.range(1))  # makes sure the session names a shared folder
-    root = f"{spark.sparkContext.getCheckpointDir()}/stores/{uuid.uuid4().hex}"
+    root = f"{shared_root(spark)}/stores/{uuid.uuid4().hex}"
     store = KeyedStore(spark, root, "line_id", "l_shipdate", buckets=8)
     line_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id")
     stored, incoming = (side.select(line_id, *VERSION[2:]) for side in sides(spark, folder))
