@@ -4,8 +4,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# An aggregated table of up to this many narrow rows is broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 200_000
+# A join side of up to this many bytes is broadcast; a larger one is joined by shuffle.
+BROADCAST_BYTES = 16 << 20
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,11 +55,21 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise an aggregated join side and broadcast it if its row count allows.
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows: the lengths of text and binary columns, and eight for each of the others."""
+    long = [c for c, kind in df.dtypes if kind in ("string", "binary")]
+    fixed = 8 + sum(16 if kind in ("string", "binary") else 8 for _, kind in df.dtypes)
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in long]
+    row = sum(texts, F.lit(fixed).cast("long"))
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
-    Counting the written rows is cheap. A side that is too large is returned
-    without the hint, so that the join shuffles and AQE can split hot keys.
+
+def small_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Materialise a join side of text and number columns and broadcast it if its size allows.
+
+    Runs a job when called. Measuring the written rows is cheap. A side that is
+    too large is returned without the hint, so that the join shuffles and AQE
+    can split hot keys.
     """
     written = durable(df)
-    return F.broadcast(written) if written.count() <= most else written
+    return F.broadcast(written) if measured_bytes(written) <= most else written

@@ -272,7 +272,7 @@ SELECT c_custkey AS id, c_mktsegment AS name FROM customer UNION ALL SELECT -c_c
 def dataset_stats(spark, folder):
     parts = [
         sizes(table(spark, folder, name)).select(
-            F.lit(name).alias("dataset"), "rows", (F.col("megabytes") >= 0).cast("int").alias("sized")
+            F.lit(name).alias("dataset"), "rows", "files", (F.col("megabytes") >= 0).cast("int").alias("sized")
         )
         for name in TABLES
     ]
@@ -280,7 +280,7 @@ def dataset_stats(spark, folder):
 
 
 DATASET_STATS = " UNION ALL ".join(
-    f"SELECT '{name}' AS dataset, count(*) AS rows, CAST(1 AS INT) AS sized FROM {name}" for name in TABLES
+    f"SELECT '{name}' AS dataset, count(*) AS rows, 1::BIGINT AS files, CAST(1 AS INT) AS sized FROM {name}" for name in TABLES
 )
 
 QUERIES = {
