@@ -1,7 +1,9 @@
 """The pipeline over the smallest tables, stage by stage."""
 
+import random
+
 import corpus_pipeline
-from aftermath.llm import decontaminate, simhash
+from aftermath.llm import decontaminate, jaccard, simhash
 from aftermath.llm.shared import Workspace, table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -21,3 +23,58 @@ def test_stages_take_effect(spark):
     assert decontaminate.leaks(kept["decontamination"], table(spark, FOLDER, "benchmark")).isEmpty()
     before, after = ({r[0] for r in kept[n].select("doc_id").collect()} for n in ("decontamination", "mixing"))
     assert before == after and kept["sharding"].count() == kept["mixing"].count()
+
+
+def _jaccard(a: frozenset, b: frozenset) -> float:
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def _brute_force(rows: list) -> dict:
+    """The smallest id of the component of each (doc_id, text), by all pairs."""
+
+    def shingled(text):
+        words = (text or "").lower().split()
+        n = min(5, len(words))
+        return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
+
+    sets = {i: shingled(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and _jaccard(sets[a], sets[b]) >= 0.8:
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {i: top(i) for i in sets}
+
+
+def test_near_duplicates_at_four_fifths_of_five_words(spark):
+    rnd = random.Random(11)
+    words = [f"v{i}" for i in range(3000)]
+    rows = [(1, None), (2, " \n"), (3, "only three words"), (4, "ONLY three\twords"), (5, "only three wordz")]
+    for base in range(12):
+        text = rnd.choices(words, k=rnd.choice([30, 60, 200, 700]))
+        for changed in (0, 0, 1, 2, 3, 4, 5, 6, 8, 12):
+            copy = list(text)
+            for at in rnd.sample(range(len(copy)), changed):
+                copy[at] = f"new{rnd.random()}"
+            rows.append((len(rows) + 1, " ".join(copy)))
+    # a chain: neighbours are alike, its ends are not
+    long = rnd.choices(words, k=400)
+    rows += [(1000 + i, " ".join(long[25 * i : 25 * i + 250])) for i in range(7)]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got, want = {r.doc_id: r.component_id for r in found.collect()}, _brute_force(rows)
+    assert got == want
+    assert len({want[1000 + i] for i in range(7)}) == 1 and len(set(want.values())) > 12
+
+
+def test_stage_groups_all_near_copies_of_the_test_table(spark):
+    docs = table(spark, FOLDER, "documents")
+    want = _brute_force([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    kept = corpus_pipeline.unique(spark, docs, FOLDER)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(set(want.values()))
