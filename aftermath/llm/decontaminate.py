@@ -53,6 +53,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def lowered(column: pa.Array) -> list[bytes]:
+    """The one lower case of items, their sides and documents: ``str.lower`` differs for a final sigma and U+0130."""
     return column_bytes(pc.utf8_lower(column.cast(pa.string())))
 
 
@@ -66,7 +67,7 @@ class Index:
     """
 
     def __init__(self, ids: list, texts: list[str], df: dict[int, int], items: int, mean: float, s: Settings):
-        words, first = words_of([t.lower().encode() for t in texts], TABLE)
+        words, first = words_of(lowered(pa.array(texts, pa.string())), TABLE)
         self.ids, rows = ids, []
         for i in range(len(ids)):
             terms, tf = np.unique(words[first[i] : first[i + 1]], return_counts=True)
@@ -103,7 +104,7 @@ class Index:
         self.stride = max(s.stride, int(np.diff(first).max()))
         self.sides = []
         for text in texts:
-            sides = words_of([x.lower().encode() for x in question_and_answer(text)], TABLE)
+            sides = words_of(lowered(pa.array(question_and_answer(text), pa.string())), TABLE)
             self.sides.append([shingles(sides[0][sides[1][k] : sides[1][k + 1]], s.shingle) for k in (0, 1)])
 
     def spread(self, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +208,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     for turn in range(turns):
         # both are bounded by INDEX_BYTES
         own = items.where(F.col("turn") == turn).orderBy("item_id", "text").select("item_id", "text").toArrow()
-        own = [(i, t) for i, t in zip(own["item_id"].to_pylist(), own["text"].to_pylist()) if t and len(words_of([t.lower().encode()], TABLE)[0])]
+        own = [(i, t) for i, t in zip(own["item_id"].to_pylist(), own["text"].to_pylist()) if t and len(words_of(lowered(pa.array([t])), TABLE)[0])]
         if not own:
             continue
         used = postings.where(F.col("turn") == turn).select("term").distinct().join(holding, "term").toArrow()

@@ -183,6 +183,14 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.leaks(empty, items).count() == 0 and decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_lowers_items_and_documents_alike(spark):
+    text = "ΟΔΟΣ İzmir w1 w2 w3 w4 ΛΟΓΟΣ w5.\nw6 ΤΕΛΟΣ w7 w8 w9 İ w10 w11"
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    rows = spark.createDataFrame([(1, prose(60, 90) + " " + text), (2, prose(61, 90))], "doc_id long, text string")
+    got = decontaminate.leaks(rows, items).collect()
+    assert [(r.doc_id, r.item_id, r.question_overlap, r.answer_overlap) for r in got] == [(1, 1, 1.0, 1.0)]
+
+
 def test_warc(spark):
     rows = [(1, "http://a/\r\nX", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u", None), (4, "u", ""), (None, "u", "<p>é</p>"), (5, "u", "z" * 300000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
