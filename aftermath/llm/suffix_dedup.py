@@ -1,7 +1,8 @@
-"""Exact repeated strings of 200 bytes: prefix doubling over content-chosen positions.
+"""Exact repeated strings of 200 bytes: content-chosen positions (minimizers) named by hashes.
 
-A rank stands for the string at a position; equal ranks mean equal strings.
-Plain doubling keeps a row for every byte in every round. Here each window of
+This stands in for prefix doubling: nothing is sorted and no offset doubles. A
+rank is a 64-bit hash of the string at a position; equal ranks mean equal
+strings, but for collisions. Plain doubling keeps a row for every byte in every round. Here each window of
 200 bytes is named by one position in it, the leftmost 40-byte string of least
 hash: equal windows choose the same string at the same offset. Only those
 positions get rows, about one in eighty bytes. Ranks grow from 40 bytes to
