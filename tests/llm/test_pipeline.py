@@ -78,3 +78,10 @@ def test_stage_groups_all_near_copies_of_the_test_table(spark):
     want = _brute_force([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
     kept = corpus_pipeline.unique(spark, docs, FOLDER)
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(set(want.values()))
+
+
+def test_unique_tells_texts_of_one_id_apart(spark):
+    first, other = (" ".join(random.Random(i).choices([f"u{k}" for k in range(900)], k=80)) for i in (1, 2))
+    rows = [(1, first), (2, other), (2, other), (2, first), (3, other), (None, first)]
+    kept = corpus_pipeline.unique(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, first), (2, other), (None, first)], key=str)
