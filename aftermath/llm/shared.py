@@ -34,9 +34,16 @@ class Workspace:
         self.spark = spark
         self.folder = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+    def write(self, df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
+        """The written table; ``batch_bytes`` bounds the Arrow batches of its Python stages."""
+        path, setting = f"{self.folder}/{name}", "spark.sql.execution.arrow.maxBytesPerBatch"
+        before = self.spark.conf.get(setting)
+        try:
+            if batch_bytes:
+                self.spark.conf.set(setting, str(batch_bytes))
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(setting, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
