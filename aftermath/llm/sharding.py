@@ -66,12 +66,13 @@ def descend(df: DataFrame, key: str, tree: Tree, prefix: str = "") -> DataFrame:
     return df.withColumn(shard, leaf.cast("int"))
 
 
-def sharded(docs: DataFrame, tree: Tree, larger: Tree) -> DataFrame:
+def sharded(docs: DataFrame, tree: Tree, larger: Tree, apart: bool = False) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, region, rack) of every row of ``docs``.
 
     Law ``key``: the id and the tree decide alone. ``larger`` has one more
     shard, see ``grown``. Slots number a shard's rows from 0 by a hash of the
-    id. A null text has size 1 and the checksum of nothing. A null doc_id is a
+    id, in which rows of one id are neighbours; with ``apart`` the place of a
+    row in the input counts too, so that they are not. A null text has size 1 and the checksum of nothing. A null doc_id is a
     key like any other. Repeated rows go to one shard and get a slot each.
     Other columns are ignored.
     """
@@ -84,7 +85,9 @@ def sharded(docs: DataFrame, tree: Tree, larger: Tree) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_key"),
     )
     placed = descend(descend(base, "_key", larger, "_grown_"), "_key", tree)
-    placed = placed.withColumn("_draw", F.xxhash64(F.lit("slot"), "_key"))
+    # written below, so a row keeps its draw
+    salt = [F.monotonically_increasing_id()] if apart else []
+    placed = placed.withColumn("_draw", F.xxhash64(F.lit("slot"), "_key", *salt))
     placed = space.write(placed.drop("_key", "_grown_region", "_grown_rack"), "placed")
     slots = running_totals(space, placed, "shard", "_draw", ["doc_id", "text_crc32"], "size")
     return slots.select(

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from aftermath.llm import decontaminate, jaccard, simhash
 from aftermath.llm.shared import Workspace, table
@@ -80,6 +82,72 @@ def test_stage_groups_all_near_copies_of_the_test_table(spark):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(set(want.values()))
 
 
+def test_near_duplicates_in_a_band_of_many_texts(spark):
+    """Texts with much in common share bands but are not alike; pairs hidden among them are found."""
+    rnd = random.Random(3)
+    words = [f"v{i}" for i in range(5000)]
+    base, rows = rnd.choices(words, k=120), []
+    for i in range(400):
+        own = base + rnd.choices(words, k=80 if i % 2 else 30)
+        rows.append((len(rows), " ".join(own)))
+        if i % 8 == 0:
+            for at in rnd.sample(range(120, len(own)), 2):
+                own[at] = f"x{rnd.random()}"
+            rows.append((len(rows), " ".join(own)))
+    rows += [(len(rows) + i, " ".join([f"n{i}" if k == i else w for k, w in enumerate(base)])) for i in range(120)]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == _brute_force(rows)
+
+
+def test_forest_joins_each_likely_group_once():
+    rnd = np.random.default_rng(4)
+    base = rnd.integers(0, 256, (3, 128), dtype=np.uint8)
+    sketches = np.repeat(base, 30, axis=0)
+    flip = rnd.random(sketches.shape) < 0.1
+    sketches = np.where(flip, rnd.integers(0, 256, sketches.shape), sketches).astype(np.uint8)
+    pairs = jaccard.forest(sketches, np.arange(90), jaccard.agreeing(0.8), 0)
+    assert len(pairs) == 87 and all(a // 30 == b // 30 for a, b in pairs)
+    joined = np.arange(90) // 30
+    assert jaccard.forest(sketches, joined, jaccard.agreeing(0.8), 4) == []
+    half = np.where(np.arange(90) % 30 < 15, joined, joined + 10)
+    assert len(jaccard.forest(sketches, half, jaccard.agreeing(0.8), 0)) == 3
+
+
+def test_stages_keep_columns_that_clash_and_empty_tables(spark):
+    schema = "doc_id long, text string, source string, _hash string, _row long, _refused string, block int, pass int, key long, node long"
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choices([f"u{k}" for k in range(900)], k=60)) for _ in range(30)] + [None, "", " "]
+    rows = [(i, t, "ab"[i % 2], f"h{i}", i, "r", 1, 2, 3, 4) for i, t in enumerate(texts)] + [(None, texts[0], None, "n", 1, "r", 1, 2, 3, 4)]
+    for frame, kept in ((spark.createDataFrame(rows, schema), 31), (spark.createDataFrame([], schema), 0)):
+        for name, stage in corpus_pipeline.STAGES[1:4]:
+            out = stage(spark, frame, FOLDER)
+            assert out.columns == frame.columns
+            got = {(r.doc_id, r._hash, r._row) for r in out.collect()}
+            assert got <= {(r[0], r[3], r[4]) for r in rows}
+            if name == "near_duplicates":
+                assert len(got) == (kept and kept + 1)
+            elif kept:
+                assert len(got) == len(rows)
+        assert corpus_pipeline.shards(spark, frame, FOLDER).count() == frame.count()
+
+
+def test_mixture_holds_blocks_in_order_and_copies_lie_apart(spark):
+    rows = [(i, f"word{i} " * 20, "large" if i < 900 else "small") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = corpus_pipeline.mixture(spark, docs, FOLDER)
+    order = [r.doc_id for r in mixed.collect()]
+    twice = {i for i in order if order.count(i) > 1}
+    assert set(order) == set(range(1000)) and 0 < len(twice) <= 100 and min(twice) >= 900
+    assert order != sorted(order)
+    slots = corpus_pipeline.shards(spark, mixed, FOLDER).collect()
+    by_shard = {}
+    for r in slots:
+        by_shard.setdefault(r.shard, {})[r.slot] = r.doc_id
+    assert all(sorted(places) == list(range(len(places))) for places in by_shard.values())
+    beside = sum(places[s] == places.get(s + 1) for places in by_shard.values() for s in places)
+    assert beside < len(twice) / 4
+
+
 def test_unique_tells_texts_of_one_id_apart(spark):
     first, other = (" ".join(random.Random(i).choices([f"u{k}" for k in range(900)], k=80)) for i in (1, 2))
     rows = [(1, first), (2, other), (2, other), (2, first), (3, other), (None, first)]
