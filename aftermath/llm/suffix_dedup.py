@@ -26,6 +26,8 @@ SPAN = LENGTH - SEED + 1  # seeds in a window; less than 256
 AROUND = LENGTH - SEED
 GROUP = 16  # windows decided together
 SIEVE_BITS = 27  # of a bitmap that is broadcast: 16 MB, whatever the input
+SLICE = 1 << 18  # bytes of a text that are hashed at once, beside what surrounds them
+BATCH_BYTES = 16 << 20  # of whole texts in a task's batch
 
 
 def chosen(h: np.ndarray) -> np.ndarray:
@@ -45,23 +47,45 @@ def chosen(h: np.ndarray) -> np.ndarray:
     return np.where(take, later + (right & low).astype(np.int64), block + (left & low).astype(np.int64))
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, ...]:
-    """(place, first window, last window, rank, rank before, rank after) of all places that name windows."""
-    n = len(text)
-    sums = prefix_hashes(np.frombuffer(text, np.uint8))
-    h = mixed((sums[SEED:] - sums[:-SEED]) * powers("down", len(sums))[: n - SEED + 1])
-    at = chosen(h)
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    last = np.r_[first[1:], len(at)] - 1
-    x = at[first]
-    left, right = np.maximum(x - AROUND, 0), np.minimum(x + SEED + AROUND, n)
-    before = hash_between(sums, left, x) + mixed((x - left).astype(np.uint64))
-    after = hash_between(sums, x + SEED, right) + mixed((right - x).astype(np.uint64))
-    return x, first, last, h[x], before, after
+def anchors(text: bytes) -> list[np.ndarray]:
+    """(place, first window, last window, rank, rank before, rank after) of all places that name windows.
 
-
-def _signed(a: np.ndarray) -> pa.Array:
-    return pa.array(a.view(np.int64) if a.dtype == np.uint64 else a.astype(np.int64))
+    The text is taken in slices of windows, each with the bytes around it that
+    its ranks need; a place that names windows of two slices is one place.
+    """
+    n, out = len(text), []
+    for begin in range(0, n - LENGTH + 1, SLICE):
+        end = min(begin + SLICE, n - LENGTH + 1)  # windows from begin to before end
+        base = max(begin - AROUND, 0)
+        part = np.frombuffer(text, np.uint8, min(end - 1 + LENGTH + AROUND, n) - base, base)
+        sums = prefix_hashes(part)
+        at = begin - base
+        h = mixed((sums[at + SEED : end - 1 + LENGTH - base + 1] - sums[at : end - base + SPAN - 1]) * powers("down", len(sums))[at : end - base + SPAN - 1])
+        best = chosen(h)
+        first = np.flatnonzero(np.r_[True, best[1:] != best[:-1]])
+        last = np.r_[first[1:], len(best)] - 1
+        x = best[first] + at
+        left, right = np.maximum(x - AROUND, 0), np.minimum(x + SEED + AROUND, len(part))
+        before = hash_between(sums, left, x) + mixed((x - left).astype(np.uint64))
+        after = hash_between(sums, x + SEED, right) + mixed((right - x).astype(np.uint64))
+        found = [x + base, first + begin, last + begin, h[x - at], before, after]
+        if out and out[-1][0][-1] == found[0][0]:
+            out[-1][2][-1] = found[2][0]
+            found = [c[1:] for c in found]
+        if len(found[0]):
+            out.append(found)
+    return [np.concatenate(c) for c in zip(*out)]
+
+
+def slices(text: bytes, places: np.ndarray, reach: int):
+    """For each slice of a text that holds some of ``places``: which, its bytes with ``reach`` around, and where these begin."""
+    order = np.argsort(places, kind="stable")
+    cuts = np.flatnonzero(np.diff(places[order] // SLICE)) + 1
+    for some in np.split(order, cuts):
+        if len(some):
+            base = max(int(places[some].min()) - reach, 0)
+            end = min(int(places[some].max()) + reach, len(text))
+            yield some, np.frombuffer(text, np.uint8, end - base, base), base
 
 
 def _places(values: np.ndarray) -> np.ndarray:
@@ -115,70 +139,70 @@ def _positions(names_only: bool, sieve=None):
                     alive = passing(sieve.value, found[3])
                     found = [column[alive] for column in found]
                 x, first, last, name, before, after = found
-                if names_only:
-                    yield pa.RecordBatch.from_arrays([_signed(name)], ["name"])
-                else:
-                    owner = pa.array(np.full(len(x), key, np.int64))
-                    columns = [owner, _signed(x), _signed(first), _signed(last), _signed(name), _signed(before), _signed(after)]
-                    yield pa.RecordBatch.from_arrays(columns, ["key", "x", "lo", "hi", "name", "before", "after"])
+                yield (name,) if names_only else (np.full(len(x), key, np.int64), x, first, last, name, before, after)
+
+    return gathered(run, ["name"] if names_only else ["key", "x", "lo", "hi", "name", "before", "after"])
 
-    return gathered(run)
 
+def gathered(run, names: list[str], rows: int = 50_000):
+    """The columns that ``run`` yields, put together in batches of about ``rows``; masked values are null."""
 
-def gathered(run, rows: int = 50_000):
-    """The same rows in larger batches."""
+    def merged(held):
+        columns = [np.ma.concatenate(c) if np.ma.isMaskedArray(c[0]) else np.concatenate(c) for c in zip(*held)]
+        arrays = [pa.array(np.ma.getdata(c).view(np.int64), mask=np.ma.getmaskarray(c) if np.ma.isMaskedArray(c) else None) for c in columns]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
-    def merged(batches):
+    def batches_of(batches):
         held, n = [], 0
         for out in run(batches):
             held.append(out)
-            n += out.num_rows
+            n += len(out[0])
             if n >= rows:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                yield merged(held)
                 held, n = [], 0
         if n:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield merged(held)
+
+    return batches_of
+
 
-    return merged
+def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... n times, for each."""
+    return np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
 def _groups(batches):
     """Groups of windows at the same offsets from their name: (name, group, rank of all they share, of all they cover, key, lo, hi)."""
     for batch in batches:
         for key, text, asks in zip(batch.column(0).to_pylist(), each_bytes(batch.column(1)), each_struct(batch.column(2))):
-            sums = prefix_hashes(np.frombuffer(text, np.uint8))
-            name, x, lo, hi = (asks[c].astype(np.int64) for c in ("name", "x", "lo", "hi"))
-            least, most = (x - hi) // GROUP, (x - lo) // GROUP
-            n = most - least + 1
-            name, x, lo, hi = (np.repeat(c, n) for c in (name, x, lo, hi))
-            group = np.repeat(least, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            last = x - group * GROUP  # the group's last window and, before it, its first
-            first = last - GROUP + 1
-            shared = hash_between(sums, last, first + LENGTH)
-            inside = (first >= 0) & (last + LENGTH <= len(text))
-            covered = hash_between(sums, np.where(inside, first, 0), np.where(inside, last + LENGTH, 0))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(name), _signed(group), _signed(shared), pa.array(covered.view(np.int64), mask=~inside),
-                    pa.array(np.full(len(x), key, np.int64)), _signed(np.maximum(lo, first)), _signed(np.minimum(hi, last)),
-                ],
-                ["name", "grp", "shared", "covered", "key", "lo", "hi"],
-            )
+            columns = [asks[c].astype(np.int64) for c in ("name", "x", "lo", "hi")]
+            for some, part, base in slices(text, columns[1], 2 * LENGTH):
+                sums = prefix_hashes(part)
+                name, x, lo, hi = (c[some] for c in columns)
+                least, most = (x - hi) // GROUP, (x - lo) // GROUP
+                n = most - least + 1
+                group = spread(least, n)
+                name, x, lo, hi = (np.repeat(c, n) for c in (name, x, lo, hi))
+                last = x - group * GROUP  # the group's last window and, before it, its first
+                first = last - GROUP + 1
+                shared = hash_between(sums, last - base, first + LENGTH - base)
+                inside = (first >= 0) & (last + LENGTH <= len(text))
+                covered = hash_between(sums, np.where(inside, first - base, 0), np.where(inside, last + LENGTH - base, 0))
+                covered = np.ma.masked_array(covered.view(np.int64), ~inside)
+                yield name, group, shared, covered, np.full(len(x), key, np.int64), np.maximum(lo, first), np.minimum(hi, last)
 
 
 def _windows(batches):
     """Each asked window of a text: (name, rank of the whole window, key, place)."""
     for batch in batches:
         for key, text, asks in zip(batch.column(0).to_pylist(), each_bytes(batch.column(1)), each_struct(batch.column(2))):
-            sums = prefix_hashes(np.frombuffer(text, np.uint8))
             lo = asks["lo"].astype(np.int64)
             n = asks["hi"] - lo + 1
-            p = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            names = np.repeat(asks["name"], n)
-            whole = hash_between(sums, p, p + LENGTH)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names), _signed(whole), pa.array(np.full(len(p), key, np.int64)), _signed(p)], ["name", "whole", "key", "p"]
-            )
+            places, names = spread(lo, n), np.repeat(asks["name"], n)
+            for some, part, base in slices(text, places, LENGTH):
+                p = places[some]
+                whole = hash_between(prefix_hashes(part), p - base, p + LENGTH - base)
+                yield names[some], whole, np.full(len(p), key, np.int64), p
 
 
 def spans_of(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
@@ -219,7 +243,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     same text or another. Null and empty texts, and those under 200 bytes, stay
     whole. Repeated rows are documents of their own: they remove each other.
     A null id is an id. Other columns are ignored. Strings are equal if their
-    128 bits of rank are.
+    128 bits of rank are. A text is held whole in its task, its ranks slice by
+    slice. An empty table gives no rows.
     """
     space = Workspace(docs.sparkSession, "suffixes")
     text = F.col("text").cast("string")
@@ -229,11 +254,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     # Round 1: 40 bytes. Names that occur once leave.
     names = source.mapInArrow(_positions(True), "name long").groupBy("name").agg(F.count(F.lit(1)).alias("_n"))
-    names = space.write(names.where("_n > 1").select("name"), "names")
+    names = space.write(names.where("_n > 1").select("name"), "names", BATCH_BYTES)
     schema = "key long, x long, lo long, hi long, name long, before long, after long"
-    rows = source.mapInArrow(_positions(False, sieve(names)), schema)
+    known = sieve(names)
+    rows = source.mapInArrow(_positions(False, known), schema)
     rows = rows.withColumns({c: F.col(c).cast("int") for c in ("x", "lo", "hi")})
-    rows = space.write(rows.join(names, "name"), "positions")
+    rows = space.write(rows.join(names, "name"), "positions", BATCH_BYTES)
+    known.unpersist()
 
     # Round 2: 360 bytes around. All windows of a place whose surroundings occur twice are repeated.
     around = rows.groupBy("name", "before", "after").agg(
@@ -249,10 +276,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     # Round 3: groups of windows of names with several surroundings; one place speaks for each of these.
     # What the windows of a group share is in all of them, what they cover holds all of them.
-    asked = space.write(sifted(source, "key", sieve(asks.select("key"))).join(asks, "key").select("key", "text", "asks"), "asked")
+    known = sieve(asks.select("key"))
+    asked = sifted(source, "key", known).join(asks, "key").select("key", "text", "asks")
+    asked = space.write(asked, "asked", BATCH_BYTES)
+    known.unpersist()
     schema = "name long, grp long, shared long, covered long, key long, lo long, hi long"
-    groups = asked.mapInArrow(gathered(_groups), schema)
-    groups = space.write(groups.withColumns({c: F.col(c).cast("int") for c in ("grp", "lo", "hi")}), "groups")
+    groups = asked.mapInArrow(gathered(_groups, [c.split()[0] for c in schema.split(", ")]), schema)
+    groups = space.write(groups.withColumns({c: F.col(c).cast("int") for c in ("grp", "lo", "hi")}), "groups", BATCH_BYTES)
 
     def repeated(df: DataFrame, rank: str) -> DataFrame:
         """The (name, grp, rank) that occur twice."""
@@ -272,8 +302,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     asks = undecided.select("key", "name", "lo", "hi").unionByName(speakers.select("one.key", "name", "one.lo", "one.hi"))
     asks = asks.groupBy("key").agg(F.collect_list(F.struct("name", "lo", "hi")).alias("asks"))
     windows = asked.select("key", "text").join(asks, "key").select("key", "text", "asks")
-    windows = windows.mapInArrow(gathered(_windows), "name long, whole long, key long, p long")
-    windows = space.write(windows.select("name", "whole", "key", F.col("p").cast("int").alias("p")), "windows")
+    windows = windows.mapInArrow(gathered(_windows, ["name", "whole", "key", "p"]), "name long, whole long, key long, p long")
+    windows = space.write(windows.select("name", "whole", "key", F.col("p").cast("int").alias("p")), "windows", BATCH_BYTES)
     again = windows.groupBy("name", "whole").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("name", "whole")
     found = windows.join(again, ["name", "whole"]).select("key", F.col("p").alias("lo"), F.col("p").alias("hi"))
     found = found.unionByName(sure).unionByName(alive.where("_full").select("key", "lo", "hi"))
@@ -287,4 +317,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     touched = sifted(texts, "key", cut).join(found, "key", "left").select("doc_id", "text", "windows")
     none = F.lit(None).cast(found.schema["windows"].dataType).alias("windows")
     whole = sifted(texts, "key", cut, keep=False).select("doc_id", "text", none)
-    return touched.unionByName(whole).mapInArrow(_cut, schema)
+    result = space.write(touched.unionByName(whole).mapInArrow(_cut, schema), "result", BATCH_BYTES)
+    cut.unpersist()
+    space.drop("found")
+    return result

@@ -6,6 +6,7 @@ import random
 import re
 import zipfile
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -98,6 +99,33 @@ def test_repeated_strings_against_brute_force(docs, empty):
     assert any(0 < w[2] < w[1] for w in want)
 
 
+def test_slices_of_a_text_name_the_same_windows(monkeypatch):
+    chooser = random.Random(8)
+    texts = [bytes(chooser.choices(b"abcd ", k=n)) for n in (200, 399, 1000, 5003)] + [b"x" * 3000, b"ab" * 2500]
+    whole = [suffix_dedup.anchors(t) for t in texts]
+    for size in (100, 333, 1000):
+        monkeypatch.setattr(suffix_dedup, "SLICE", size)
+        for text, want in zip(texts, whole):
+            assert all((a == b).all() for a, b in zip(suffix_dedup.anchors(text), want))
+        places = np.array([4, 5, 999, 1000, 2200, 4802])
+        for some, part, base in suffix_dedup.slices(texts[3], places, 400):
+            for p in places[some]:
+                assert part.tobytes()[p - base : p - base + 200] == texts[3][p : p + 200]
+
+
+def test_repeats_across_the_slices_of_a_long_text(spark):
+    chooser = random.Random(21)
+    text = "".join(chooser.choices("abcdefghijklmnop", k=600_000))
+    passage = "".join(chooser.choices("qrstuvw", k=700))
+    at = [(1 << 18) - 350, (1 << 19) - 199, 590_000]
+    for p in at:
+        text = text[:p] + passage + text[p + 700 :]
+    rows = [(1, text), (2, "short " + passage[:250]), (3, passage[:199])]
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in suffix_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [(p, p + 700) for p in at], 2: [(6, 256)], 3: []}
+
+
+
 def test_shards(docs, empty):
     tree = sharding.even_tree(16)
     got = sharding.sharded(docs, tree, sharding.grown(tree, 16)).collect()
