@@ -8,13 +8,14 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aftermath.model_inputs import DURATION_FEATURES, EARLY_FEATURES, STANDARD_FEATURES, TARGET
 from aftermath.operators import cleaning, metrics
 from aftermath.operators.scoring import EARLY, STANDARD
+from aftermath.plans.boosting import RegularizedBoosting
 
 # The evaluation protocol.
 SEED = 42
@@ -35,13 +36,17 @@ BOOST_SPACE = {
     "maxDepth": [3, 4, 5, 6, 7, 8],
     "stepSize": [0.01, 0.03, 0.05, 0.07, 0.1],
     "subsamplingRate": [0.6, 0.7, 0.8, 0.9, 1.0],
-    "featureSubsetStrategy": ["0.6", "0.7", "0.8", "0.9", "1.0"],
-    "minInstancesPerNode": [1, 3, 5, 7],
-    "minInfoGain": [0.0, 0.1, 0.2, 0.3],
+    "featureRate": [0.6, 0.7, 0.8, 0.9, 1.0],
+    "minChildWeight": [1, 3, 5, 7],
+    "gamma": [0, 0.1, 0.2, 0.3],
+    "regAlpha": [0, 0.01, 0.1, 1],
+    "regLambda": [0.5, 1, 1.5, 2],
 }
 # The configurations used without a search.
-TEMPORAL_PARAMS = {"maxIter": 500, "maxDepth": 7, "stepSize": 0.01, "subsamplingRate": 0.7, "featureSubsetStrategy": "0.7", "minInstancesPerNode": 3}
-REGIME_PARAMS = {"maxIter": 500, "maxDepth": 6, "stepSize": 0.01, "subsamplingRate": 0.6, "featureSubsetStrategy": "1.0"}
+TEMPORAL_PARAMS = {
+    "maxIter": 500, "maxDepth": 7, "stepSize": 0.01, "subsamplingRate": 0.7, "featureRate": 0.7, "minChildWeight": 3, "regLambda": 0.5
+}
+REGIME_PARAMS = {"maxIter": 500, "maxDepth": 6, "stepSize": 0.01, "subsamplingRate": 0.6, "gamma": 0.3, "regLambda": 0.5}
 
 RUN_SCHEMA = "run string, model string, params map<string,string>, r2 double, rmse double, mae double, cv_r2 double, tags map<string,string>"
 
@@ -76,8 +81,8 @@ def pipeline(features: Sequence[str], estimator: Estimator) -> Pipeline:
     return Pipeline(stages=[assembler, estimator])
 
 
-def boosted(params: dict, target: str = TARGET) -> GBTRegressor:
-    return GBTRegressor(featuresCol="features", labelCol=target, seed=SEED, **params)
+def boosted(params: dict, target: str = TARGET) -> RegularizedBoosting:
+    return RegularizedBoosting(featuresCol="features", labelCol=target, seed=SEED, **params)
 
 
 def evaluate(model: PipelineModel, df: DataFrame, target: str = TARGET) -> dict:

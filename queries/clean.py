@@ -111,8 +111,8 @@ PA_AGGREGATE = with_ctes(f" SELECT {COST_COLUMNS} FROM projects GROUP BY disaste
 def pa_category_pivot(spark, folder):
     usable = cleaning.clean_projects(projects(spark, folder))
     names = costs.category_names(usable, "damagecategorycode")
-    cost = costs.cost_by_disaster(usable, category="damagecategorycode", categories=names)
-    return rounded_cost(cost, *[f"cat_cost_{name}" for name in names])
+    cost = costs.cost_by_disaster(usable, category="damagecategorycode", categories=names, rest="cat_cost_other")
+    return rounded_cost(cost, *[f"cat_cost_{name}" for name in names], "cat_cost_other")
 
 
 PA_CATEGORY_PIVOT = with_ctes(
@@ -120,7 +120,8 @@ PA_CATEGORY_PIVOT = with_ctes(
 SELECT {COST_COLUMNS},
        round(sum(CASE WHEN category = 'A' THEN amount ELSE 0 END), 2) AS "cat_cost_A",
        round(sum(CASE WHEN category = 'N' THEN amount ELSE 0 END), 2) AS "cat_cost_N",
-       round(sum(CASE WHEN category = 'R' THEN amount ELSE 0 END), 2) AS "cat_cost_R"
+       round(sum(CASE WHEN category = 'R' THEN amount ELSE 0 END), 2) AS "cat_cost_R",
+       round(sum(CASE WHEN category NOT IN ('A', 'N', 'R') THEN amount ELSE 0 END), 2) AS cat_cost_other
 FROM projects GROUP BY disasternumber""",
     PROJECTS_SQL,
 )

@@ -7,6 +7,7 @@ repeat them; fitted models are covered by the tests.
 from pyspark.sql import functions as F
 
 from aftermath.operators import cleaning, metrics, scoring
+from aftermath.plans import boosting
 from aftermath.session import durable
 from queries.bindings import DECLARATIONS_SQL, KINDS, declarations, pick, table, with_ctes
 
@@ -322,6 +323,93 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 8 = 0 THEN 0.0::DOUBLE ELSE round(
          / (1 + CAST(o_orderkey % 2 = 0 AS INT) + CAST(o_orderkey % 3 = 0 AS INT)), 6) END AS suggested_severity
 FROM orders, (SELECT [{', '.join(f'{x}::DOUBLE' for x in BASE_VALUES)}] AS v)"""
 
+# Every value of these columns is a cut.
+SPLIT_FEATURES = ("l_quantity", "l_discount", "l_tax")
+SPLIT_SETTINGS = boosting.Settings(l1=0.5, l2=1.5, min_child=20.0)
+
+
+def _prices(spark, folder):
+    """Lines with the gradient of their log price from its mean; bins number the values from the smallest."""
+    lines = table(spark, folder, "lineitem")
+    y = F.log1p("l_extendedprice")
+    # the distinct values of three short decimal columns
+    values = [sorted(r[0] for r in lines.select(c).distinct().collect() if r[0] is not None) for c in SPLIT_FEATURES]
+    mean = lines.agg(F.avg(y)).head()[0]
+    bins = F.array(*(boosting.binned(F.col(c), v) for c, v in zip(SPLIT_FEATURES, values)))
+    rows = lines.select("l_linenumber", (F.lit(mean) - y).alias("gradient"), F.lit(1.0).alias("hessian"), bins.alias("bins"))
+    names = [(f, c, b, float(v)) for f, (c, some) in enumerate(zip(SPLIT_FEATURES, values)) for b, v in enumerate(some)]
+    return rows, F.broadcast(spark.createDataFrame(names, "feature int, name string, bin int, threshold double"))
+
+
+def boost_split(spark, folder):
+    """Every first split of a tree on the lines, with its gain and the steps of both sides."""
+    rows, names = _prices(spark, folder)
+    allowed = boosting.candidates(boosting.histograms(rows.withColumn("node", F.lit(0))), SPLIT_SETTINGS).join(names, ["feature", "bin"])
+    step = lambda side: F.round(boosting.leaf_weight(F.col(f"{side}_g"), F.col(f"{side}_h"), SPLIT_SETTINGS), 8)
+    return allowed.select(
+        F.col("name").alias("feature"),
+        "threshold",
+        F.round("gain", 4).alias("gain"),
+        "left_n",
+        "right_n",
+        step("left").alias("left_step"),
+        step("right").alias("right_step"),
+    )
+
+
+SPLITS_SQL = """
+rows AS (
+  SELECT l_linenumber, avg(ln(1 + l_extendedprice)) OVER () - ln(1 + l_extendedprice) AS g,
+         unnest([{'f': 'l_quantity', 'v': CAST(l_quantity AS DOUBLE)}, {'f': 'l_discount', 'v': CAST(l_discount AS DOUBLE)},
+                 {'f': 'l_tax', 'v': CAST(l_tax AS DOUBLE)}]) AS x
+  FROM lineitem
+),
+cuts AS (SELECT GROUP_BY x.f AS feature, x.v AS threshold, sum(g) AS g, count(*) AS n FROM rows GROUP BY ALL),
+sides AS (
+  SELECT GROUP_BY feature, threshold, sum(g) OVER upto AS lg, sum(n) OVER upto AS ln, sum(g) OVER whole AS ag, sum(n) OVER whole AS an
+  FROM cuts
+  WINDOW upto AS (PARTITION BY GROUP_BY feature ORDER BY threshold), whole AS (PARTITION BY GROUP_BY feature)
+),
+splits AS (
+  SELECT *, ag - lg AS rg, an - ln AS rn, greatest(abs(lg) - 0.5, 0) ** 2 / (ln + 1.5)
+         + greatest(abs(ag - lg) - 0.5, 0) ** 2 / (an - ln + 1.5) - greatest(abs(ag) - 0.5, 0) ** 2 / (an + 1.5) AS gain
+  FROM sides WHERE ln >= 20 AND an - ln >= 20
+)"""
+
+BOOST_SPLIT = with_ctes(
+    """
+SELECT feature, threshold, round(gain, 4) AS gain, CAST(ln AS BIGINT) AS left_n, CAST(rn AS BIGINT) AS right_n,
+       round(-0.1 * sign(lg) * greatest(abs(lg) - 0.5, 0) / (ln + 1.5), 8) AS left_step,
+       round(-0.1 * sign(rg) * greatest(abs(rg) - 0.5, 0) / (rn + 1.5), 8) AS right_step
+FROM splits""",
+    SPLITS_SQL.replace("GROUP_BY ", ""),
+)
+
+
+def boost_gain(spark, folder):
+    """The mean gain per split over the first splits of one tree for each line number."""
+    rows, names = _prices(spark, folder)
+    found = boosting.histograms(rows.withColumnRenamed("l_linenumber", "node"))
+    chosen = boosting.best_splits(boosting.candidates(found, SPLIT_SETTINGS))
+    ranked = boosting.gain_per_split(chosen, names.select("feature", "name").distinct())
+    return ranked.select(
+        "feature", F.round("importance", 4).alias("importance"), "splits", F.round("total_gain", 4).alias("total_gain"), "rank", "importance_pct"
+    )
+
+
+BOOST_GAIN = with_ctes(
+    """,
+best AS (
+  SELECT * FROM splits QUALIFY row_number() OVER (
+    PARTITION BY l_linenumber ORDER BY gain DESC, CASE feature WHEN 'l_quantity' THEN 0 WHEN 'l_discount' THEN 1 ELSE 2 END, threshold) = 1
+),
+means AS (SELECT feature, avg(gain) AS importance, count(*) AS splits, sum(gain) AS total_gain FROM best GROUP BY feature)
+SELECT feature, round(importance, 4) AS importance, splits, round(total_gain, 4) AS total_gain,
+       row_number() OVER (ORDER BY importance DESC, feature) AS rank, round(importance / sum(importance) OVER () * 100, 2) AS importance_pct
+FROM means""",
+    SPLITS_SQL.replace("GROUP_BY ", "l_linenumber, "),
+)
+
 QUERIES = {
     "hash_split": (hash_split, HASH_SPLIT),
     "temporal_split": (temporal_split, TEMPORAL_SPLIT),
@@ -330,6 +418,8 @@ QUERIES = {
     "regime_compare": (regime_compare, REGIME_COMPARE),
     "importance_rank": (importance_rank, IMPORTANCE_RANK),
     "best_model": (best_model, BEST_MODEL),
+    "boost_split": (boost_split, BOOST_SPLIT),
+    "boost_gain": (boost_gain, BOOST_GAIN),
     "scenario_validate": (scenario_validate, SCENARIO_VALIDATE),
     "score_scenarios": (score_scenarios, SCORE_SCENARIOS),
     "severity_baseline": (severity_baseline, SEVERITY_BASELINE),

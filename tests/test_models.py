@@ -9,8 +9,8 @@ from aftermath.plans import importance, training
 from aftermath.plans import scoring as scoring_plan
 
 SMALL_FOREST = {"numTrees": [5, 8], "maxDepth": [3, 4]}
-SMALL_BOOST = {"maxIter": [4, 6], "maxDepth": [2, 3]}
-TINY = {"maxIter": 4, "maxDepth": 3}
+SMALL_BOOST = {"maxIter": [2, 3], "maxDepth": [1, 2]}
+TINY = {"maxIter": 2, "maxDepth": 2, "stepSize": 0.7}
 
 
 @pytest.fixture(scope="module")
