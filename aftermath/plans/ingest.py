@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aftermath.operators.merging import with_arrival
 from aftermath.sources.store import KeyedStore
-from aftermath.sources.tables import path_exists, sizes
+from aftermath.sources.tables import path_exists
 from aftermath.spec import DatasetSpec, conform
 
 
@@ -56,13 +56,13 @@ def statistics(spark: SparkSession, root: str, spec: DatasetSpec) -> dict:
     """Existence, rows, size, key, cursor and mark of a stored dataset."""
     store = store_of(spark, root, spec)
     current = store.read()
-    size = None if current is None else sizes(current).head()
+    files, megabytes = store.stored_sizes()
     return {
         "dataset": spec.name,
         "exists": current is not None,
-        "rows": 0 if size is None else size.rows,
-        "files": 0 if size is None else size.files,
-        "file_size_mb": 0.0 if size is None else size.megabytes,
+        "rows": 0 if current is None else current.count(),
+        "files": files,
+        "file_size_mb": megabytes,
         "key_field": spec.key,
         "checkpoint_field": spec.cursor,
         "mark": store.mark(),

@@ -1,67 +1,193 @@
-"""A keyed Parquet dataset that is updated by rewriting only the buckets that change.
-
-Rows live in ``data/v=<version>/bucket=<n>``. A commit is one small JSON file
-that says which version of each bucket is current, so readers see all of an
-update or nothing of it: data without a commit is never read. One writer per
-dataset is assumed.
+"""A keyed Parquet dataset with merge-on-read updates and optimistic commits.
+
+Rows live in ``data/<folder>/bucket=<n>``. An update writes only its changed
+rows, as deltas; ``compact`` joins them with the bucket's base. A commit is one
+small JSON-lines file named by its version that comes into being as a whole or
+not at all, so readers see all of an update or nothing of it: data without a
+commit is never read. Of two writers of one version the second one looks at
+what the first one did: it takes the next version if they touched different
+buckets, else it starts anew. Every ``EVERY`` commits the live state is written
+as Parquet, so a reader opens that and the few commits after it.
 """
 
 import json
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aftermath.operators import merging
+from aftermath.operators.ranking import keep_first
 from aftermath.session import durable
-from aftermath.sources.tables import path_exists
+from aftermath.sources.tables import path_exists, sizes
 
 COMMIT_SCHEMA = (
-    "version long, bucket int, data_version long, source string, mark_time string, mark_key string, layout string, width int"
+    "version long, kind string, bucket int, folder string, source string, mark_time string, mark_key string, "
+    "layout string, width int, stream string, batch long, report string"
 )
+# Commits between two written states, and deltas of a bucket that an update leaves before it compacts.
+EVERY = 50
+MOST_DELTAS = 8
+RETRIES = 20
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed to the same buckets."""
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """Last version, column layout (None before the first commit), data version per bucket and number of buckets."""
+    """Last version, column layout (None before the first commit), folders per bucket (base first, then deltas) and number of buckets."""
 
     version: int
     layout: T.StructType | None
-    buckets: dict[int, int]
+    buckets: dict[int, tuple[str, ...]] = field(default_factory=dict)
     width: int | None = None
 
 
 class CommitLog:
-    """Append-only record of versions, their sources and high-water marks."""
+    """Versions with their files, sources, stream batches and high-water marks."""
+
+    def __init__(self, spark: SparkSession, root: str, every: int = EVERY):
+        self.spark, self.root, self.every = spark, root, every
+        self.path, self.states = f"{root}/commits", f"{root}/states"
+
+    def _file_system(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.path = f"{root}/commits"
+    def _names(self, path: str) -> list[str]:
+        target, system = self._file_system(path)
+        return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
+
+    def sources_of_state(self) -> tuple[int, list[str]]:
+        """The version of the newest written state (0: none) and the commit files after it."""
+        written = [int(n) for n in self._names(self.states) if n.isdigit() and path_exists(self.spark, f"{self.states}/{n}/_SUCCESS")]
+        last = max(written, default=0)
+        names = sorted(n for n in self._names(self.path) if n.endswith(".json") and int(n[:-5]) > last)
+        return last, [f"{self.path}/{n}" for n in names]
 
     def rows(self) -> DataFrame:
-        if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return self.spark.read.schema(COMMIT_SCHEMA).json(self.path)
-
-    def snapshot(self) -> "Snapshot":
-        """The current state from one pass; at most one row per bucket is collected."""
-        newest = (
-            self.rows()
-            .groupBy("bucket")
-            .agg(F.max("data_version").alias("data_version"), F.max(F.struct("version", "layout", "width")).alias("last"))
-            .collect()
+        """The live entries: of the newest written state, and of the commits after it."""
+        last, files = self.sources_of_state()
+        parts = [self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.states}/{last:020d}")] if last else []
+        parts += [self.spark.read.schema(COMMIT_SCHEMA).json(files)] if files else []
+        return merging.union_by_name(*parts) if parts else self.spark.createDataFrame([], COMMIT_SCHEMA)
+
+    def snapshot(self) -> Snapshot:
+        """The current state from one pass; the live files of each bucket and one more row are collected."""
+        rows = self.rows()
+        last = F.struct("version", "layout", "width")
+        found = rows.where("kind IN ('base', 'delta')").select("version", "kind", "bucket", "folder", "layout", "width")
+        newest = rows.where("kind = 'commit'").agg(F.max(last).alias("m")).select(
+            "m.version", F.lit("commit").alias("kind"), F.lit(-1).alias("bucket"), F.lit("").alias("folder"), "m.layout", "m.width"
         )
-        if not newest:
-            return Snapshot(0, None, {})
-        last = max((row.last for row in newest), key=lambda entry: entry.version)
-        versions = {row.bucket: row.data_version for row in newest if row.bucket >= 0}
-        return Snapshot(last.version, T.StructType.fromJson(json.loads(last.layout)), versions, last.width)
+        entries = sorted(found.unionByName(newest).collect(), key=lambda r: (r.version or 0, r.kind))
+        state = next(r for r in entries if r.kind == "commit")
+        if state.version is None:
+            return Snapshot(0, None)
+        buckets: dict[int, tuple[str, ...]] = {}
+        for r in entries:
+            if r.kind == "base":
+                buckets[r.bucket] = (r.folder,)
+            elif r.kind == "delta":
+                buckets[r.bucket] = (*buckets.get(r.bucket, ()), r.folder)
+        return Snapshot(state.version, T.StructType.fromJson(json.loads(state.layout)), buckets, state.width)
 
     def sources(self) -> DataFrame:
         return self.rows().where("source IS NOT NULL").select("source").distinct()
 
-    def append(self, rows: list[tuple]) -> None:
-        # One file, so that the commit appears as a whole.
-        self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.path)
+    def report_of(self, stream: str, batch: int) -> dict | None:
+        """What the commit of a stream's batch reported; None if there is none. The newest batch of a stream is kept."""
+        row = self.rows().where((F.col("stream") == stream) & (F.col("batch") == batch)).select("report").head()
+        return None if row is None else json.loads(row.report)
+
+    def _create(self, path: str, text: str) -> bool:
+        """Write a file as a whole unless it exists; whether this call made it."""
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        part, system = self._file_system(f"{self.root}/open/{uuid.uuid4().hex}")
+        target = system.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+        system.mkdirs(target.getParent())
+        stream = system.create(part, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
+        kind = jvm.org.apache.hadoop.fs.Options.Rename
+        options = gateway.new_array(kind, 1)
+        options[0] = kind.NONE
+        try:
+            context.rename(system.makeQualified(part), target, options)
+        except Py4JJavaError as error:
+            system.delete(part, False)
+            if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
+    def append(self, seen: int, entry: dict, files: list[tuple[str, int, str]] = ()) -> int:
+        """Commit ``files`` (kind, bucket, folder), made from the state of version ``seen``; the version.
+
+        ``CommitConflict`` if a commit after ``seen`` has one of the buckets, the
+        source or the batch, or changed the columns.
+        """
+        version = seen + 1
+        while True:
+            lines = [{"version": version, "kind": "commit", **entry}]
+            lines += [{"version": version, "kind": kind, "bucket": bucket, "folder": folder} for kind, bucket, folder in files]
+            if self._create(f"{self.path}/{version:020d}.json", "\n".join(map(json.dumps, lines)) + "\n"):
+                break
+            self._agree(version, entry, {bucket for _, bucket, _ in files})
+            version += 1
+        if version % self.every == 0:
+            self.write_state(version)
+        return version
+
+    def _agree(self, version: int, entry: dict, touched: set[int]) -> None:
+        other = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/{version:020d}.json").collect()
+        theirs = next(r for r in other if r.kind == "commit")
+        same_batch = entry.get("stream") is not None and (theirs.stream, theirs.batch) == (entry["stream"], entry["batch"])
+        same_source = entry.get("source") is not None and theirs.source == entry["source"]
+        if touched & {r.bucket for r in other} or same_batch or same_source or theirs.layout != entry.get("layout"):
+            raise CommitConflict(f"version {version} of {self.root} is another writer's")
+
+    def _best_mark(self, rows: DataFrame, layout: T.StructType | None, cursor: str | None, key: str | None) -> DataFrame:
+        typed = F.struct(F.col("mark_time").alias("t"), F.col("mark_key").alias("k"))
+        if layout is not None and cursor in layout.names and key in layout.names:
+            typed = F.struct(
+                F.col("mark_time").try_cast(layout[cursor].dataType).alias("t"),
+                F.col("mark_key").try_cast(layout[key].dataType).alias("k"),
+            )
+        return rows.where("mark_time IS NOT NULL").agg(F.max_by(F.struct("mark_time", "mark_key"), typed).alias("m"))
+
+    def write_state(self, version: int) -> None:
+        """Write what of the log is live. Writers of one state write the same, so a repeat changes nothing."""
+        rows = self.rows().where(F.col("version") <= version)
+        bases = rows.where("kind = 'base'").groupBy("bucket").agg(F.max("version").alias("_base"))
+        files = rows.where("kind IN ('base', 'delta')").join(F.broadcast(bases), "bucket").where("version >= _base").drop("_base")
+        last = rows.where("kind = 'commit'").agg(F.max_by(F.struct("*"), "version").alias("r")).select("r.*")
+        marks = rows.where("mark_time IS NOT NULL").select("version", F.lit("mark").alias("kind"), "mark_time", "mark_key").distinct()
+        named = rows.where("source IS NOT NULL").groupBy("source").agg(F.min("version").alias("version"))
+        batches = rows.where("stream IS NOT NULL").groupBy("stream")
+        batches = batches.agg(F.max_by(F.struct("version", "batch", "report"), "batch").alias("r"))
+        live = merging.union_by_name(
+            self.spark.createDataFrame([], COMMIT_SCHEMA),
+            files,
+            last.drop("source", "mark_time", "mark_key", "stream", "batch", "report"),
+            self._newest_marks(marks),
+            named.select("version", F.lit("source").alias("kind"), "source"),
+            batches.select("r.version", F.lit("batch").alias("kind"), "stream", "r.batch", "r.report"),
+        )
+        live.coalesce(1).write.mode("overwrite").parquet(f"{self.states}/{version:020d}")
+
+    @staticmethod
+    def _newest_marks(marks: DataFrame) -> DataFrame:
+        """Few marks that hold the highest one whatever its type: the highest as text and as numbers."""
+        orders = {"text": F.struct("mark_time", "mark_key"), "number": F.struct("mark_time", F.col("mark_key").try_cast("double"))}
+        orders["numbers"] = F.struct(F.col("mark_time").try_cast("double"), F.col("mark_key").try_cast("double"))
+        orders["mixed"] = F.struct(F.col("mark_time").try_cast("double"), F.col("mark_key"))
+        found = marks.agg(*(F.max_by(F.struct("version", "kind", "mark_time", "mark_key"), by).alias(name) for name, by in orders.items()))
+        return found.select(F.explode(F.array(*orders)).alias("r")).where("r IS NOT NULL").select("r.*").distinct()
 
 
 @dataclass
@@ -90,37 +216,90 @@ class KeyedStore:
         """The current rows; None before the first commit."""
         return self._at(self.log.snapshot())
 
+    def _paths(self, state: Snapshot, only: list[int] | None = None) -> dict[int, list[str]]:
+        wanted = state.buckets if only is None else {b: f for b, f in state.buckets.items() if b in only}
+        return {bucket: [f"{self.root}/data/{folder}/bucket={bucket}" for folder in folders] for bucket, folders in wanted.items()}
+
     def _at(self, state: Snapshot, only: list[int] | None = None) -> DataFrame | None:
+        """The rows of some buckets: those of the base whose key no delta has, and of each such key the newest."""
         if state.layout is None:
             return None
-        paths = [
-            f"{self.root}/data/v={version}/bucket={bucket}"
-            for bucket, version in state.buckets.items()
-            if only is None or bucket in only
-        ]
+        paths = self._paths(state, only).values()
+        read = self.spark.read.schema(state.layout)
+        plain, based = ([p[0] for p in paths if (len(p) > 1) == mixed] for mixed in (False, True))
+        parts = [read.parquet(*plain)] if plain else []
+        if based:
+            # the folder of a delta begins with a number that grows from one to the next
+            deltas = read.parquet(*(path for p in paths for path in p[1:]))
+            deltas = deltas.withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), r"/data/([^/]+)/", 1))
+            newest = keep_first(deltas, [self.key], [F.desc("_folder")]).drop("_folder")
+            parts += [merging.new_rows(read.parquet(*based), newest, [self.key]).select(*state.layout.names), newest.select(*state.layout.names)]
+        return merging.union_by_name(*parts) if parts else self.spark.createDataFrame([], state.layout)
+
+    def stored_sizes(self) -> tuple[int, float]:
+        """Files and megabytes that a read opens."""
+        paths = [path for some in self._paths(self.log.snapshot()).values() for path in some]
         if not paths:
-            return self.spark.createDataFrame([], state.layout)
-        return self.spark.read.schema(state.layout).parquet(*paths)
+            return 0, 0.0
+        row = sizes(self.spark.read.parquet(*paths)).head()
+        return row.files, row.megabytes
 
     def mark(self) -> tuple[str, str] | None:
         """The highest (cursor, key) over all committed batches, as text."""
         layout = self.log.snapshot().layout
         if layout is None:
             return None
-        typed = F.struct(
-            F.col("mark_time").try_cast(layout[self.cursor].dataType).alias("t"),
-            F.col("mark_key").try_cast(layout[self.key].dataType).alias("k"),
-        )
-        row = self.log.rows().where("mark_time IS NOT NULL").agg(F.max_by(F.struct("mark_time", "mark_key"), typed).alias("m")).head()
+        row = self.log._best_mark(self.log.rows(), layout, self.cursor, self.key).head()
         return None if row.m is None else tuple(row.m)
 
-    def upsert(self, incoming: DataFrame, source: str | None = None, arrival: str | None = None) -> dict:
+    def _written(self, rows: DataFrame, version: int) -> str:
+        """Write rows by bucket to a folder of their own; its name."""
+        folder = f"{version:012d}-{uuid.uuid4().hex}"
+        # Rebalancing groups rows by bucket, and splits a bucket too big for one task.
+        written = self.bucketed(rows).hint("rebalance", "bucket").write.option("compression", "gzip")
+        written.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
+        return folder
+
+    def compact(self, least: int = 1) -> int:
+        """Join base and deltas of all buckets with ``least`` deltas or more, in one commit; their number.
+
+        Rows stay the same. Buckets that another writer commits to meanwhile are left for the next call.
+        """
+        state = self.log.snapshot()
+        wanted = sorted(b for b, folders in state.buckets.items() if len(folders) > least)
+        if not wanted:
+            return 0
+        folder = self._written(self._at(state, wanted), state.version + 1)
+        entry = {"layout": state.layout.json(), "width": state.width}
+        try:
+            self.log.append(state.version, entry, [("base", bucket, folder) for bucket in wanted])
+        except CommitConflict:
+            return 0
+        return len(wanted)
+
+    def upsert(
+        self, incoming: DataFrame, source: str | None = None, arrival: str | None = None, batch: tuple[str, int] | None = None
+    ) -> dict:
         """Insert new keys, replace older versions, ignore identical and stale ones.
 
         Applying the same rows again changes nothing, so a batch may be retried
-        after a failure at any point. ``arrival`` names a column that decides
-        between rows of equal cursor within the batch; it is not stored.
+        after a failure at any point. ``batch`` (stream, number) names one that is
+        applied once: a retry gives the counts of the first try. ``arrival`` names
+        a column that decides between rows of equal cursor within the batch; it
+        is not stored. If another writer commits to the same buckets, the batch
+        is judged again against what that one left.
         """
+        for _ in range(RETRIES):
+            known = None if batch is None else self.log.report_of(*batch)
+            if known is not None:
+                return known
+            try:
+                return self._upsert(incoming, source, arrival, batch)
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"{RETRIES} attempts on {self.root} met other writers")
+
+    def _upsert(self, incoming: DataFrame, source: str | None, arrival: str | None, batch: tuple[str, int] | None) -> dict:
         state = self.log.snapshot()
         if state.width not in (None, self.buckets):
             raise ValueError(f"{self.root} has {state.width} buckets, not {self.buckets}")
@@ -153,60 +332,53 @@ class KeyedStore:
             **{kind: sum(r.n for r in tally if r.outcome == kind) for kind in kinds},
         }
         report["duplicates"] = received - sum(r.n for r in tally)
-        changed = judged.where(F.col("outcome").isin(merging.NEW, merging.UPDATED)).drop("outcome")
+        changed = judged.where(F.col("outcome").isin(merging.NEW, merging.UPDATED)).drop("outcome", "bucket")
         touched = sorted({r.bucket for r in tally if r.outcome in (merging.NEW, merging.UPDATED)})
         report["buckets_rewritten"] = len(touched)
         top = max((r for r in tally if r.top.t is not None), key=lambda r: tuple(r.top), default=None)
         mark = (None, None) if top is None else (top.time, top.key)
-        version, layout = state.version, state.layout
-        if touched:
-            kept = self._at(state, touched)
-            final = changed
-            if kept is not None:
-                kept = self.bucketed(kept.join(changed.select(self.key), self.key, "left_anti"))
-                final = merging.union_by_name(kept, changed)
-            # Rebalancing groups rows by bucket, and splits a bucket too big for one task.
-            (
-                final.hint("rebalance", "bucket")
-                .write.mode("overwrite")
-                .option("compression", "gzip")
-                .partitionBy("bucket")
-                .parquet(f"{self.root}/data/v={version + 1}")
-            )
-            layout = T.StructType([f for f in final.schema if f.name != "bucket"])
         if touched or source is not None:
-            layout = layout or rows.schema
-            entries = [(version + 1, b, version + 1, source, *mark, layout.json(), self.buckets) for b in touched]
-            entries = entries or [(version + 1, -1, version + 1, source, *mark, layout.json(), self.buckets)]
-            self.log.append(entries)
+            layout, files = state.layout or rows.schema, []
+            if touched:
+                added = [f for f in changed.schema if f.name not in layout.names]
+                layout = T.StructType([*layout, *added])
+                folder = self._written(changed, state.version + 1)
+                files = [("delta" if bucket in state.buckets else "base", bucket, folder) for bucket in touched]
+            entry = {"source": source, "mark_time": mark[0], "mark_key": mark[1], "layout": layout.json(), "width": self.buckets}
+            if batch is not None:
+                entry |= {"stream": batch[0], "batch": batch[1], "report": json.dumps(report)}
+            self.log.append(state.version, entry, files)
+            if any(len(state.buckets.get(bucket, ())) > MOST_DELTAS for bucket in touched):
+                self.compact(MOST_DELTAS)
         return report
 
     def discard_replaced(self) -> int:
-        """Delete bucket versions that no current read needs; their number.
+        """Delete base and delta folders of buckets that no current read needs; their number.
 
-        Call it when nobody reads an older state any more.
+        Call it when nobody reads an older state or is writing.
         """
-        current = {(version, bucket) for bucket, version in self.log.snapshot().buckets.items()}
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")
-        system = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = (system.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/v=*/bucket=*")) or []) if current else []
+        current = {(folder, bucket) for bucket, folders in self.log.snapshot().buckets.items() for folder in folders}
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/*/bucket=*")
+        system = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
         removed = 0
-        for status in found:
-            path = status.getPath()
-            version, bucket = (int(x.split("=")[1]) for x in path.toString().rsplit("/", 2)[1:])
-            if (version, bucket) not in current:
-                removed += system.delete(path, True)
+        for status in (system.globStatus(pattern) or []) if current else []:
+            folder, bucket = status.getPath().toString().rsplit("/", 2)[1:]
+            if (folder, int(bucket.split("=")[1])) not in current:
+                removed += system.delete(status.getPath(), True)
         return removed
 
 
 def publish(df: DataFrame, root: str) -> int:
-    """Replace a whole table: write a new version, then make it current."""
-    spark = df.sparkSession
-    log = CommitLog(spark, root)
-    version = log.snapshot().version + 1
-    df.write.mode("overwrite").option("compression", "gzip").parquet(f"{root}/data/v={version}")
-    log.append([(version, 0, version, None, None, None, df.schema.json(), None)])
-    return version
+    """Replace a whole table: write a new version, then make it current. Of two writers the later commit stands."""
+    log = CommitLog(df.sparkSession, root)
+    folder = uuid.uuid4().hex
+    df.write.option("compression", "gzip").parquet(f"{root}/data/{folder}")
+    for _ in range(RETRIES):
+        try:
+            return log.append(log.snapshot().version, {"layout": df.schema.json()}, [("base", 0, folder)])
+        except CommitConflict:
+            continue
+    raise CommitConflict(f"{RETRIES} attempts on {root} met other writers")
 
 
 def published(spark: SparkSession, root: str) -> DataFrame | None:
@@ -214,4 +386,4 @@ def published(spark: SparkSession, root: str) -> DataFrame | None:
     state = CommitLog(spark, root).snapshot()
     if state.layout is None:
         return None
-    return spark.read.schema(state.layout).parquet(f"{root}/data/v={state.version}")
+    return spark.read.schema(state.layout).parquet(f"{root}/data/{state.buckets[0][0]}")

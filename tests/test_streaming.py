@@ -93,8 +93,12 @@ def test_crash_between_store_and_checkpoint_is_repaired_by_the_retry(spark, tmp_
     with pytest.raises(Exception, match="lost after the write"):
         query.awaitTermination()
     monkeypatch.setattr(ingest, "apply_batch", honest)
+    first = ingest.run_metrics(spark, str(root)).head()
     drain(spark, source, root, checkpoint)
     assert summaries(spark, root) == EXPECTED
+    again = ingest.run_metrics(spark, str(root)).collect()
+    assert len(again) == 1 and first.new == 4
+    assert all(again[0][name] == first[name] for name in (*ingest.OUTCOMES, "records", "bad"))
 
 
 def test_batch_and_stream_give_the_same_table(spark, tmp_path):
