@@ -122,7 +122,8 @@ cost AS (
   SELECT disasternumber, sum(amount) AS total, count(amount) AS n, avg(amount) AS mean, max(amount) AS top,
          sum(CASE WHEN category = 'A' THEN amount ELSE 0 END) AS cat_a,
          sum(CASE WHEN category = 'N' THEN amount ELSE 0 END) AS cat_n,
-         sum(CASE WHEN category = 'R' THEN amount ELSE 0 END) AS cat_r
+         sum(CASE WHEN category = 'R' THEN amount ELSE 0 END) AS cat_r,
+         sum(CASE WHEN category NOT IN ('A', 'N', 'R') THEN amount ELSE 0 END) AS cat_other
   FROM projects GROUP BY disasternumber
 )"""
 DISCREPANCY = with_ctes(
@@ -153,7 +154,7 @@ SIX = (
     "declaration_quarter_cos incident_severity_score severity_x_duration severity_x_frequency "
     "duration_x_days_to_declaration avg_project_cost obligation_discrepancy log_total_obligated_amount"
 ).split()
-TWO = "total_obligated_amount cat_cost_A cat_cost_N cat_cost_R".split()
+TWO = "total_obligated_amount cat_cost_A cat_cost_N cat_cost_R cat_cost_other".split()
 WHOLE = (
     "disasternumber state incidenttype declarationtype declaration_year declaration_month declaration_quarter region "
     "state_disaster_frequency rainfall_intensity wind_speed flood_severity storm_event_count project_count max_project_cost "
@@ -168,7 +169,7 @@ def feature_table(spark, folder):
     landed = durable(declarations(spark, folder))
     usable = cleaning.clean_projects(projects(spark, folder))
     names = costs.category_names(usable, "damagecategorycode")
-    cost = costs.cost_by_disaster(usable, category="damagecategorycode", categories=names)
+    cost = costs.cost_by_disaster(usable, category="damagecategorycode", categories=names, rest="cat_cost_other")
     built = plan.engineer(
         cleaning.clean_declarations(landed.drop("applicant", "place")),
         cost,
@@ -222,7 +223,7 @@ SELECT scored.disasternumber AS disasternumber, state, incidenttype, declaration
        round(abs(total - reported) / nullif(reported, 0), 6) AS obligation_discrepancy,
        round(ln(1 + total), 6) AS log_total_obligated_amount,
        round(total, 2) AS total_obligated_amount, round(cat_a, 2) AS "cat_cost_A", round(cat_n, 2) AS "cat_cost_N",
-       round(cat_r, 2) AS "cat_cost_R",
+       round(cat_r, 2) AS "cat_cost_R", round(cat_other, 2) AS cat_cost_other,
        {FLAG_SQL}
 FROM scored JOIN cost ON scored.disasternumber = cost.disasternumber
      LEFT JOIN summaries ON scored.disasternumber = summaries.disasternumber""",
