@@ -8,27 +8,35 @@ commit is never read. Of two writers of one version the second one looks at
 what the first one did: it takes the next version if they touched different
 buckets, else it starts anew. Every ``EVERY`` commits the live state is written
 as Parquet, so a reader opens that and the few commits after it.
+
+A commit holds a digest of the rows that a bucket got, so the same batch is
+known again without a look at the stored rows. ``stats/<folder>`` holds ranges
+of key and cursor and a bitmap of the keys for each file of a bucket, so a
+search opens only what can hold the rows that it wants.
 """
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from aftermath.operators import merging
+from aftermath.operators import cursors, merging
 from aftermath.operators.ranking import keep_first
 from aftermath.session import durable
+from aftermath.sources import statistics
 from aftermath.sources.tables import path_exists, sizes
 
 COMMIT_SCHEMA = (
     "version long, kind string, bucket int, folder string, source string, mark_time string, mark_key string, "
-    "layout string, width int, stream string, batch long, report string"
+    "layout string, width int, stream string, batch long, report string, digest string, keys long, stale long"
 )
 # Commits between two written states, and deltas of a bucket that an update leaves before it compacts.
 EVERY = 50
 MOST_DELTAS = 8
+# A batch with more keys a bucket meets every bitmap, so it is not compared with them.
+FEW_KEYS = statistics.PARTS * statistics.BITS // 8
 RETRIES = 20
 
 
@@ -38,12 +46,17 @@ class CommitConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Snapshot:
-    """Last version, column layout (None before the first commit), folders per bucket (base first, then deltas) and number of buckets."""
+    """Last version, column layout (None before the first commit), folders per bucket (base first, then deltas) and number of buckets.
+
+    ``digests`` has, for the newest folder of a bucket, the digest of the rows
+    that led to it, the number of their keys and how many of these were stale.
+    """
 
     version: int
     layout: T.StructType | None
     buckets: dict[int, tuple[str, ...]] = field(default_factory=dict)
     width: int | None = None
+    digests: dict[int, tuple[str, int, int]] = field(default_factory=dict)
 
 
 class CommitLog:
@@ -61,27 +74,31 @@ class CommitLog:
         target, system = self._file_system(path)
         return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
 
-    def sources_of_state(self) -> tuple[int, list[str]]:
-        """The version of the newest written state (0: none) and the commit files after it."""
-        written = [int(n) for n in self._names(self.states) if n.isdigit() and path_exists(self.spark, f"{self.states}/{n}/_SUCCESS")]
-        last = max(written, default=0)
-        names = sorted(n for n in self._names(self.path) if n.endswith(".json") and int(n[:-5]) > last)
+    def sources_of_state(self, at: int | None = None) -> tuple[int, list[str]]:
+        """The version of the newest written state (0: none) and the commit files after it, up to version ``at``."""
+        wanted = [int(n) for n in self._names(self.states) if n.isdigit() and (at is None or int(n) <= at)]
+        last = next((n for n in sorted(wanted, reverse=True) if path_exists(self.spark, f"{self.states}/{n:020d}/_SUCCESS")), 0)
+        names = sorted(n for n in self._names(self.path) if n.endswith(".json") and last < int(n[:-5]) <= (at or int(n[:-5])))
         return last, [f"{self.path}/{n}" for n in names]
 
-    def rows(self) -> DataFrame:
-        """The live entries: of the newest written state, and of the commits after it."""
-        last, files = self.sources_of_state()
+    def rows(self, at: int | None = None) -> DataFrame:
+        """The live entries: of the newest written state, and of the commits after it, up to version ``at``."""
+        last, files = self.sources_of_state(at)
         parts = [self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.states}/{last:020d}")] if last else []
         parts += [self.spark.read.schema(COMMIT_SCHEMA).json(files)] if files else []
         return merging.union_by_name(*parts) if parts else self.spark.createDataFrame([], COMMIT_SCHEMA)
 
-    def snapshot(self) -> Snapshot:
-        """The current state from one pass; the live files of each bucket and one more row are collected."""
-        rows = self.rows()
+    def snapshot(self, at: int | None = None) -> Snapshot:
+        """The current state, or that of version ``at``, from one pass; the live files of each bucket and one more row are collected."""
+        if at == 0:
+            return Snapshot(0, None)
+        rows = self.rows(at)
         last = F.struct("version", "layout", "width")
-        found = rows.where("kind IN ('base', 'delta')").select("version", "kind", "bucket", "folder", "layout", "width")
+        known = ("digest", "keys", "stale")
+        found = rows.where("kind IN ('base', 'delta')").select("version", "kind", "bucket", "folder", "layout", "width", *known)
         newest = rows.where("kind = 'commit'").agg(F.max(last).alias("m")).select(
-            "m.version", F.lit("commit").alias("kind"), F.lit(-1).alias("bucket"), F.lit("").alias("folder"), "m.layout", "m.width"
+            "m.version", F.lit("commit").alias("kind"), F.lit(-1).alias("bucket"), F.lit("").alias("folder"), "m.layout", "m.width",
+            F.lit(None).alias("digest"), F.lit(None).alias("keys"), F.lit(None).alias("stale"),
         )
         entries = sorted(found.unionByName(newest).collect(), key=lambda r: (r.version or 0, r.kind))
         state = next(r for r in entries if r.kind == "commit")
@@ -93,7 +110,8 @@ class CommitLog:
                 buckets[r.bucket] = (r.folder,)
             elif r.kind == "delta":
                 buckets[r.bucket] = (*buckets.get(r.bucket, ()), r.folder)
-        return Snapshot(state.version, T.StructType.fromJson(json.loads(state.layout)), buckets, state.width)
+        digests = {r.bucket: (r.digest, r.keys, r.stale) for r in entries if r.kind != "commit"}
+        return Snapshot(state.version, T.StructType.fromJson(json.loads(state.layout)), buckets, state.width, digests)
 
     def sources(self) -> DataFrame:
         return self.rows().where("source IS NOT NULL").select("source").distinct()
@@ -125,8 +143,8 @@ class CommitLog:
             return False
         return True
 
-    def append(self, seen: int, entry: dict, files: list[tuple[str, int, str]] = ()) -> int:
-        """Commit ``files`` (kind, bucket, folder), made from the state of version ``seen``; the version.
+    def append(self, seen: int, entry: dict, files: list[tuple] = ()) -> int:
+        """Commit ``files`` (kind, bucket, folder, and what is known of its rows if anything), made from the state of version ``seen``; the version.
 
         ``CommitConflict`` if a commit after ``seen`` has one of the buckets, the
         source or the batch, or changed the columns.
@@ -134,10 +152,10 @@ class CommitLog:
         version = seen + 1
         while True:
             lines = [{"version": version, "kind": "commit", **entry}]
-            lines += [{"version": version, "kind": kind, "bucket": bucket, "folder": folder} for kind, bucket, folder in files]
+            lines += [{"version": version, "kind": kind, "bucket": bucket, "folder": folder, **dict(*known)} for kind, bucket, folder, *known in files]
             if self._create(f"{self.path}/{version:020d}.json", "\n".join(map(json.dumps, lines)) + "\n"):
                 break
-            self._agree(version, entry, {bucket for _, bucket, _ in files})
+            self._agree(version, entry, {bucket for _, bucket, *_ in files})
             version += 1
         if version % self.every == 0:
             self.write_state(version)
@@ -220,22 +238,111 @@ class KeyedStore:
         wanted = state.buckets if only is None else {b: f for b, f in state.buckets.items() if b in only}
         return {bucket: [f"{self.root}/data/{folder}/bucket={bucket}" for folder in folders] for bucket, folders in wanted.items()}
 
-    def _at(self, state: Snapshot, only: list[int] | None = None) -> DataFrame | None:
-        """The rows of some buckets: those of the base whose key no delta has, and of each such key the newest."""
+    def _at(self, state: Snapshot, only: list[int] | None = None, opened: set[tuple[int, str]] | None = None) -> DataFrame | None:
+        """The rows of some buckets: those of the base whose key no delta has, and of each such key the newest.
+
+        ``opened`` names the (bucket, folder) to open; the others must not matter to the caller.
+        """
         if state.layout is None:
             return None
-        paths = self._paths(state, only).values()
         read = self.spark.read.schema(state.layout)
-        plain, based = ([p[0] for p in paths if (len(p) > 1) == mixed] for mixed in (False, True))
+        plain, based, changes = [], [], []
+        for bucket, folders in state.buckets.items():
+            if only is not None and bucket not in only:
+                continue
+            base, *later = [f"{self.root}/data/{f}/bucket={bucket}" if opened is None or (bucket, f) in opened else None for f in folders]
+            later = [path for path in later if path]
+            changes += later
+            if base:
+                (based if later else plain).append(base)
         parts = [read.parquet(*plain)] if plain else []
-        if based:
+        if changes:
             # the folder of a delta begins with a number that grows from one to the next
-            deltas = read.parquet(*(path for p in paths for path in p[1:]))
+            deltas = read.parquet(*changes)
             deltas = deltas.withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), r"/data/([^/]+)/", 1))
-            newest = keep_first(deltas, [self.key], [F.desc("_folder")]).drop("_folder")
-            parts += [merging.new_rows(read.parquet(*based), newest, [self.key]).select(*state.layout.names), newest.select(*state.layout.names)]
+            newest = keep_first(deltas, [self.key], [F.desc("_folder")]).drop("_folder").select(*state.layout.names)
+            parts.append(newest)
+            if based:
+                parts.append(merging.new_rows(read.parquet(*based), newest, [self.key]).select(*state.layout.names))
         return merging.union_by_name(*parts) if parts else self.spark.createDataFrame([], state.layout)
 
+    def _statistics(self, state: Snapshot, only: list[int] | None = None) -> tuple[set[tuple[int, str]], DataFrame | None]:
+        """The (bucket, folder) without statistics, and the statistics of the others."""
+        live = {(b, f) for b, folders in state.buckets.items() if only is None or b in only for f in folders}
+        written = set(self.log._names(f"{self.root}/stats"))
+        known = sorted({f for _, f in live if f in written})
+        if not known:
+            return live, None
+        found = statistics.read(self.spark, f"{self.root}/stats", known, state.layout, self.key, self.cursor)
+        return {(b, f) for b, f in live if f not in written}, found
+
+    def _holding(self, state: Snapshot, rows: DataFrame, only: list[int] | None = None) -> set[tuple[int, str]] | None:
+        """The (bucket, folder) that may have a key of ``rows``: at most one per live file is collected."""
+        opened, found = self._statistics(state, only)
+        if found is None:
+            return None
+        sought = statistics.key_bitmaps(self.bucketed(rows.where(F.col(self.key).isNotNull()).select(self.key)), self.key)
+        return opened | {(r.bucket, r.folder) for r in statistics.meeting(found, sought).collect()}
+
+    def known(self, rows: DataFrame) -> DataFrame:
+        """The rows whose key is stored. Opens the files whose key range and bitmap meet those of ``rows``."""
+        state = self.log.snapshot()
+        if state.layout is None:
+            return rows.limit(0)
+        return merging.known_rows(rows, self._at(state, None, self._holding(state, rows)), [self.key])
+
+    def fresh(self, rows: DataFrame) -> DataFrame:
+        """The rows whose key is not stored, null keys among them; opens what ``known`` does."""
+        state = self.log.snapshot()
+        if state.layout is None:
+            return rows
+        return merging.new_rows(rows, self._at(state, None, self._holding(state, rows)), [self.key])
+
+    def rows_after(self, time, key) -> DataFrame | None:
+        """The current rows after the mark (time, then key). Opens the files with a cursor of that time or later.
+
+        A newer version of a row never has an earlier cursor, so a file that is
+        left out replaces no row of the result.
+        """
+        state = self.log.snapshot()
+        if state.layout is None:
+            return None
+        opened, found = self._statistics(state)
+        if found is not None:
+            opened |= {(r.bucket, r.folder) for r in statistics.reaching(found, time).collect()}
+        return self._at(state, None, opened).where(cursors.after_mark(self.cursor, self.key, time, key))
+
+    def changes(self, since: int) -> DataFrame | None:
+        """Rows that differ between version ``since`` and now, with ``change``: ``after`` as they are, ``before`` as they were.
+
+        A new row has no ``before``. Only the deltas written since are read, and
+        old files that may hold their keys; a bucket compacted in between is
+        compared in full. The files of ``since`` must not be discarded yet.
+        None before the first commit.
+        """
+        old, now = self.log.snapshot(since), self.log.snapshot()
+        if now.layout is None:
+            return None
+        added, replaced = {}, []
+        for bucket, folders in now.buckets.items():
+            had = old.buckets.get(bucket, ())
+            if folders[: len(had)] != had:
+                replaced.append(bucket)
+            elif folders != had:
+                added[bucket] = folders[len(had) :]
+        shape = replace(old, layout=now.layout)  # columns only grow
+        after = self._at(replace(now, buckets=added))
+        if replaced:
+            same = F.lit(True)
+            for name in now.layout.names:
+                same &= F.col(f"n.`{name}`").eqNullSafe(F.col(f"o.`{name}`"))
+            whole = self._at(now, replaced).alias("n").join(self._at(shape, replaced).alias("o"), same, "left_anti")
+            after = after.unionByName(whole)
+        after = durable(after)
+        touched = [*added, *replaced]
+        before = merging.known_rows(self._at(shape, touched, self._holding(shape, after, touched)), after, [self.key])
+        return after.withColumn("change", F.lit("after")).unionByName(before.withColumn("change", F.lit("before")))
+
     def stored_sizes(self) -> tuple[int, float]:
         """Files and megabytes that a read opens."""
         paths = [path for some in self._paths(self.log.snapshot()).values() for path in some]
@@ -258,6 +365,8 @@ class KeyedStore:
         # Rebalancing groups rows by bucket, and splits a bucket too big for one task.
         written = self.bucketed(rows).hint("rebalance", "bucket").write.option("compression", "gzip")
         written.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
+        stored = self.spark.read.schema(self.bucketed(rows).schema).parquet(f"{self.root}/data/{folder}")
+        statistics.write(stored, f"{self.root}/stats/{folder}", self.key, self.cursor)
         return folder
 
     def compact(self, least: int = 1) -> int:
@@ -270,9 +379,13 @@ class KeyedStore:
         if not wanted:
             return 0
         folder = self._written(self._at(state, wanted), state.version + 1)
+        written = self.spark.read.schema(T.StructType([*state.layout, T.StructField("bucket", T.IntegerType())]))
+        digested = written.parquet(f"{self.root}/data/{folder}").groupBy("bucket")
+        digested = digested.agg(statistics.digest(state.layout).alias("digest"), F.count(F.lit(1)).alias("keys")).collect()
+        known = {r.bucket: {"digest": r.digest, "keys": r.keys, "stale": 0} for r in digested}  # one row per bucket
         entry = {"layout": state.layout.json(), "width": state.width}
         try:
-            self.log.append(state.version, entry, [("base", bucket, folder) for bucket in wanted])
+            self.log.append(state.version, entry, [("base", bucket, folder, known.get(bucket, {})) for bucket in wanted])
         except CommitConflict:
             return 0
         return len(wanted)
@@ -303,47 +416,41 @@ class KeyedStore:
         state = self.log.snapshot()
         if state.width not in (None, self.buckets):
             raise ValueError(f"{self.root} has {state.width} buckets, not {self.buckets}")
-        sizes = self.bucketed(incoming.select(self.key)).groupBy("bucket", F.col(self.key).isNull().alias("no_key"))
-        counts = sizes.agg(F.count(F.lit(1)).alias("n")).collect()  # at most two rows per bucket
-        wanted = [r.bucket for r in counts if not r.no_key]
+        sizes = self.bucketed(incoming).groupBy("bucket", F.col(self.key).isNull().alias("no_key"))
+        counts = sizes.agg(F.count(F.lit(1)).alias("n"), statistics.digest(incoming.schema).alias("digest")).collect()  # at most two rows per bucket
         received = sum(r.n for r in counts if not r.no_key)
-        rows = incoming.where(F.col(self.key).isNotNull())
-        if arrival is not None:
-            rows = merging.keep_latest(rows, [self.key], self.cursor, [arrival]).drop(arrival)
-        stored = self._at(state, wanted)
-        if stored is None:
-            stored = self.spark.createDataFrame([], rows.schema)
-        judged = durable(self.bucketed(merging.classify(stored, rows, [self.key], self.cursor)))
-
-        # At most four rows per bucket.
-        tally = (
-            judged.groupBy("bucket", "outcome")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.max(F.struct(F.col(self.cursor).alias("t"), F.col(self.key).alias("k"))).alias("top"),
-            )
-            .select("*", F.col("top.t").cast("string").alias("time"), F.col("top.k").cast("string").alias("key"))
-            .collect()
-        )
+        digests = {r.bucket: r.digest for r in counts if not r.no_key}
+        # The last rows that such a bucket got are the same, so its new and updated ones are stored and its stale ones still are stale.
+        again = [b for b, d in digests.items() if d is not None and state.digests.get(b, (None,))[0] == d]
+        wanted = [b for b in digests if b not in again]
+        judged = self._judged(state, incoming, wanted, received, arrival) if wanted else None
+        tally = [] if judged is None else self._tally(judged)
         kinds = (merging.NEW, merging.UPDATED, merging.UNCHANGED, merging.STALE)
         report = {
             "incoming": received,
             "without_key": sum(r.n for r in counts if r.no_key),
             **{kind: sum(r.n for r in tally if r.outcome == kind) for kind in kinds},
         }
-        report["duplicates"] = received - sum(r.n for r in tally)
-        changed = judged.where(F.col("outcome").isin(merging.NEW, merging.UPDATED)).drop("outcome", "bucket")
+        report[merging.UNCHANGED] += sum(state.digests[b][1] - state.digests[b][2] for b in again)
+        report[merging.STALE] += sum(state.digests[b][2] for b in again)
+        report["duplicates"] = received - sum(r.n for r in tally) - sum(state.digests[b][1] for b in again)
         touched = sorted({r.bucket for r in tally if r.outcome in (merging.NEW, merging.UPDATED)})
         report["buckets_rewritten"] = len(touched)
         top = max((r for r in tally if r.top.t is not None), key=lambda r: tuple(r.top), default=None)
         mark = (None, None) if top is None else (top.time, top.key)
         if touched or source is not None:
-            layout, files = state.layout or rows.schema, []
+            layout, files = state.layout or incoming.drop(arrival or "").schema, []
             if touched:
+                changed = judged.where(F.col("outcome").isin(merging.NEW, merging.UPDATED)).drop("outcome", "bucket")
                 added = [f for f in changed.schema if f.name not in layout.names]
                 layout = T.StructType([*layout, *added])
                 folder = self._written(changed, state.version + 1)
-                files = [("delta" if bucket in state.buckets else "base", bucket, folder) for bucket in touched]
+                known = {b: {"digest": digests[b], "keys": 0, "stale": 0} for b in touched}
+                for r in tally:
+                    if r.bucket in known:
+                        known[r.bucket]["keys"] += r.n
+                        known[r.bucket]["stale"] += r.n if r.outcome == merging.STALE else 0
+                files = [("delta" if bucket in state.buckets else "base", bucket, folder, known[bucket]) for bucket in touched]
             entry = {"source": source, "mark_time": mark[0], "mark_key": mark[1], "layout": layout.json(), "width": self.buckets}
             if batch is not None:
                 entry |= {"stream": batch[0], "batch": batch[1], "report": json.dumps(report)}
@@ -352,8 +459,29 @@ class KeyedStore:
                 self.compact(MOST_DELTAS)
         return report
 
+    def _judged(self, state: Snapshot, incoming: DataFrame, wanted: list[int], received: int, arrival: str | None) -> DataFrame:
+        """The newest rows of the keys of some buckets, with their bucket and outcome."""
+        rows = self.bucketed(incoming.where(F.col(self.key).isNotNull())).where(F.col("bucket").isin(wanted)).drop("bucket")
+        if arrival is not None:
+            rows = merging.keep_latest(rows, [self.key], self.cursor, [arrival]).drop(arrival)
+        few = state.layout is not None and received <= FEW_KEYS * len(wanted)
+        stored = self._at(state, wanted, self._holding(state, rows, wanted) if few else None)
+        if stored is None:
+            stored = self.spark.createDataFrame([], rows.schema)
+        return durable(self.bucketed(merging.classify(stored, rows, [self.key], self.cursor)))
+
+    def _tally(self, judged: DataFrame) -> list:
+        """At most four rows per bucket: one for each outcome, with the number of keys and the highest (cursor, key)."""
+        top = F.max(F.struct(F.col(self.cursor).alias("t"), F.col(self.key).alias("k"))).alias("top")
+        return (
+            judged.groupBy("bucket", "outcome")
+            .agg(F.count(F.lit(1)).alias("n"), top)
+            .select("*", F.col("top.t").cast("string").alias("time"), F.col("top.k").cast("string").alias("key"))
+            .collect()
+        )
+
     def discard_replaced(self) -> int:
-        """Delete base and delta folders of buckets that no current read needs; their number.
+        """Delete base and delta folders of buckets that no current read needs, and their statistics; the number of folders.
 
         Call it when nobody reads an older state or is writing.
         """
@@ -365,6 +493,10 @@ class KeyedStore:
             folder, bucket = status.getPath().toString().rsplit("/", 2)[1:]
             if (folder, int(bucket.split("=")[1])) not in current:
                 removed += system.delete(status.getPath(), True)
+        live = {folder for folder, _ in current}
+        for name in self.log._names(f"{self.root}/stats") if current else []:
+            if name not in live:
+                system.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/stats/{name}"), True)
         return removed
 
 

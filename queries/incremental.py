@@ -1,10 +1,12 @@
 """Incremental merging, cursors and envelopes."""
 
+import datetime
 import uuid
 
 from pyspark.sql import functions as F, types as T
 
-from aftermath.operators import cursors, merging
+from aftermath.operators import costs, cursors, merging
+from aftermath.plans.refresh import refreshed
 from aftermath.session import durable, shared_root
 from aftermath.sources.store import KeyedStore
 from aftermath.sources.tables import sizes, unwrap_records
@@ -107,6 +109,62 @@ FROM {newest_sql(f"(SELECT *, 0 AS arrival FROM {STORED_SQL} UNION ALL SELECT *,
                  "arrival DESC,")}"""
 
 
+def line_store(spark):
+    return KeyedStore(spark, f"{shared_root(spark)}/stores/{uuid.uuid4().hex}", "line_id", "l_shipdate", buckets=8)
+
+
+def line_batches(spark, folder):
+    line_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id")
+    return [side.select(line_id, *VERSION[2:]) for side in sides(spark, folder)]
+
+
+def refreshed_totals(spark, folder):
+    """Totals of each supplier after a first batch, brought up to date from the changes of a second one."""
+    store = line_store(spark)
+    stored, incoming = line_batches(spark, folder)
+    totals = lambda df: costs.cost_by_disaster(df, "l_suppkey", "l_quantity")
+    store.upsert(stored)
+    version, before = store.log.snapshot().version, durable(totals(store.read()))
+    store.upsert(incoming)
+    after = refreshed(before, store.read(), store.changes(version), ["l_suppkey"], totals)
+    return after.withColumn("avg_project_cost", F.round("avg_project_cost", 6))
+
+
+REFRESHED_TOTALS = f"""
+SELECT l_suppkey, sum(l_quantity) AS total_obligated_amount, count(l_quantity) AS project_count,
+       round(avg(l_quantity), 6) AS avg_project_cost, max(l_quantity) AS max_project_cost
+FROM ({UPSERT}) GROUP BY l_suppkey"""
+
+
+def rows_after_mark(spark, folder):
+    """Stored lines shipped after a mark, from the files that can hold some."""
+    store = line_store(spark)
+    stored, incoming = line_batches(spark, folder)
+    store.upsert(stored)
+    store.upsert(incoming)
+    return store.rows_after(datetime.datetime(1998, 6, 1), 1000)
+
+
+ROWS_AFTER_MARK = f"""
+SELECT * FROM ({UPSERT}) WHERE l_shipdate > TIMESTAMP '1998-06-01' OR (l_shipdate = TIMESTAMP '1998-06-01' AND line_id > 1000)"""
+
+
+def stored_keys(spark, folder):
+    """All lines, and whether their key is in a store of the open ones; both searches open what can match."""
+    store = line_store(spark)
+    stored, _ = line_batches(spark, folder)
+    store.upsert(stored)
+    lines = versions(spark, folder).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"), "l_shipdate")
+    known, fresh = (store.known(lines), store.fresh(lines))
+    return known.withColumn("stored", F.lit(True)).unionByName(fresh.withColumn("stored", F.lit(False)))
+
+
+STORED_KEYS = """
+SELECT l_orderkey * 10 + l_linenumber AS line_id, l_shipdate,
+       (l_orderkey, l_linenumber) IN (SELECT (l_orderkey, l_linenumber) FROM lineitem WHERE l_linestatus = 'O') AS stored
+FROM lineitem"""
+
+
 def semi_existing(spark, folder):
     lines = table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
     return merging.known_rows(table(spark, folder, "orders"), lines, ["o_orderkey"]).select("o_orderkey", "o_totalprice")
@@ -289,6 +347,9 @@ QUERIES = {
     "merge_report": (merge_report, MERGE_REPORT),
     "changed_rows": (changed_rows, CHANGED_ROWS),
     "upsert": (upsert, UPSERT),
+    "refreshed_totals": (refreshed_totals, REFRESHED_TOTALS),
+    "rows_after_mark": (rows_after_mark, ROWS_AFTER_MARK),
+    "stored_keys": (stored_keys, STORED_KEYS),
     "semi_existing": (semi_existing, SEMI_EXISTING),
     "anti_new": (anti_new, ANTI_NEW),
     "key_setops": (key_setops, KEY_SETOPS),
