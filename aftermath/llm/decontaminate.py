@@ -19,11 +19,18 @@ ITEMS_PER_BLOCK = 16
 
 @dataclass(frozen=True)
 class Settings:
-    """``threshold`` and ``common`` are parts of the score that an item gives itself."""
+    """``threshold`` and ``common`` are parts of the score that an item gives itself.
+
+    ``stride`` is the shortest stride of passages, in words; an item of more
+    words is looked for with the least doubling of it that holds the item. A side of fewer than ``short``
+    words counts as found too if the passage has ``whole`` of the item's shingles.
+    """
 
     threshold: float = 0.5
     common: float = 0.3
     overlap: float = 0.6
+    short: int = 10
+    whole: float = 0.8
     shingle: int = 3
     stride: int = 64
     k1: float = 1.2
@@ -57,8 +64,16 @@ def lowered(column: pa.Array) -> list[bytes]:
     return column_bytes(pc.utf8_lower(column.cast(pa.string())))
 
 
+def stride_of(words: int, s: Settings) -> int:
+    """The stride of the passages that an item of so many words is looked for in; other items do not matter."""
+    stride = s.stride
+    while stride < words:
+        stride *= 2
+    return stride
+
+
 class Index:
-    """Postings of some items, their block maxima and their questions and answers.
+    """Postings of some items of one stride, their block maxima and their questions and answers.
 
     Weights are BM25 impacts divided by the score of the item for its own text,
     so one threshold serves all items. The commonest terms of an item, up to
@@ -66,9 +81,9 @@ class Index:
     threshold has the missing part in its other, essential terms.
     """
 
-    def __init__(self, ids: list, texts: list[str], df: dict[int, int], items: int, mean: float, s: Settings):
+    def __init__(self, ids: list, texts: list[str], df: dict[int, int], items: int, mean: float, stride: int, s: Settings):
         words, first = words_of(lowered(pa.array(texts, pa.string())), TABLE)
-        self.ids, rows = ids, []
+        self.ids, self.stride, rows = ids, stride, []
         for i in range(len(ids)):
             terms, tf = np.unique(words[first[i] : first[i + 1]], return_counts=True)
             n = np.array([df[int(t)] for t in terms.view(np.int64)], float)
@@ -101,11 +116,12 @@ class Index:
         np.maximum.at(self.most, where, weight[~spare])
         self.most_block = keys % self.blocks
         self.most_at = np.searchsorted(keys // self.blocks, np.arange(len(self.terms) + 1))
-        self.stride = max(s.stride, int(np.diff(first).max()))
-        self.sides = []
-        for text in texts:
+        self.sides, self.short, self.whole = [], [], []
+        for i, text in enumerate(texts):
             sides = words_of(lowered(pa.array(question_and_answer(text), pa.string())), TABLE)
             self.sides.append([shingles(sides[0][sides[1][k] : sides[1][k + 1]], s.shingle) for k in (0, 1)])
+            self.short.append([sides[1][k + 1] - sides[1][k] < s.short for k in (0, 1)])
+            self.whole.append(shingles(words[first[i] : first[i + 1]], s.shingle))
 
     def spread(self, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each row all places at[row] to at[row + 1]: number of the row, place."""
@@ -113,9 +129,8 @@ class Index:
         owner = np.repeat(np.arange(len(rows)), n)
         return owner, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(at[rows], n)
 
-    def search(self, texts: list[bytes], s: Settings) -> list[tuple]:
-        """(text, item, passage, score, question overlap, answer overlap) of every item found."""
-        words, first = words_of(texts, TABLE)
+    def search(self, words: np.ndarray, first: np.ndarray, s: Settings) -> list[tuple]:
+        """(text, item, passage, score, question overlap, answer overlap) of every item found in texts, given by their words."""
         spots = np.flatnonzero(self.seen[(words & np.uint64((1 << 18) - 1)).astype(np.int64)])
         number = np.minimum(np.searchsorted(self.terms, words[spots]), len(self.terms) - 1)
         known = self.terms[number] == words[spots]
@@ -151,7 +166,8 @@ class Index:
             here = shingles(words[begin:end], s.shingle) if len(above) else None
             for i in above.tolist():
                 q, a2 = (contained(side, here, words[begin:end], s.shingle) for side in self.sides[i])
-                if q >= s.overlap and a2 >= s.overlap:
+                most = any(self.short[i]) and contained(self.whole[i], here, words[begin:end], s.shingle) >= s.whole
+                if all(x >= s.overlap or (most and short) for x, short in zip((q, a2), self.short[i])):
                     row = (t, i, p - int(base[t]), float(score[i]), q, a2)
                     if (t, i) not in best or row[3] > best[t, i][3]:
                         best[t, i] = row
@@ -173,7 +189,10 @@ def contained(side: np.ndarray, here: np.ndarray, words: np.ndarray, n: int) ->
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, item_id, passage, score, question_overlap, answer_overlap): every item that a document holds.
 
-    Every passage of every whole text is a query; the row names the best one.
+    Every passage of every whole text is a query; the row names the best one,
+    of equal scores the first. A passage is as long as two strides of an item's length class, so
+    whether an item is found depends on its text and the documents, and on
+    other items only through the frequencies of words.
     Items without words are never found; items with equal texts are each found.
     Null and empty texts hold nothing. Repeated rows give repeated results, and
     a null id stays null. Without items the result is empty. Other columns are
@@ -213,18 +232,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
             continue
         used = postings.where(F.col("turn") == turn).select("term").distinct().join(holding, "term").toArrow()
         df = dict(zip(used["term"].to_pylist(), used["n"].to_pylist()))
-        index = Index([i for i, _ in own], [t for _, t in own], df, counted, mean, settings)
-        found = found.unionByName(texts.mapInArrow(_searcher(spark.sparkContext.broadcast(index), settings), schema))
+        classes: dict[int, list] = {}
+        for i, t in own:
+            length = len(words_of(lowered(pa.array([t])), TABLE)[0])
+            classes.setdefault(stride_of(length, settings), []).append((i, t))
+        made = [Index([i for i, _ in c], [t for _, t in c], df, counted, mean, stride, settings) for stride, c in sorted(classes.items())]
+        found = found.unionByName(texts.mapInArrow(_searcher(spark.sparkContext.broadcast(made), settings), schema))
     return found
 
 
-def _searcher(index, settings: Settings):
+def _searcher(indexes, settings: Settings):
     def run(batches):
         for batch in batches:
             texts, ids = lowered(batch.column(1)), batch.column(0).to_pylist()
             rows = []
             for a, b in chunks(texts):
-                rows += [(ids[a + t], index.value.ids[i], *rest) for t, i, *rest in index.value.search(texts[a:b], settings)]
+                words, first = words_of(texts[a:b], TABLE)
+                for index in indexes.value:
+                    rows += [(ids[a + t], index.ids[i], *rest) for t, i, *rest in index.search(words, first, settings)]
             names = ("doc_id", "item_id", "passage", "score", "question_overlap", "answer_overlap")
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
             columns = zip(*rows) if rows else [()] * len(names)
