@@ -1,14 +1,20 @@
 """Readers of the two weather archives."""
 
 import logging
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aftermath.functions.text import numeric
+from aftermath.session import shared_root
 
 logger = logging.getLogger(__name__)
 
+# Files that are landed at a time.
+AT_ONCE = 16
+
 # File-name pattern (year, version), columns used, and field positions.
 STORM_FILE = r"StormEvents_details-ftp_v1\.0_d(\d{4})_c(\d+)\.csv\.gz"
 STORM_COLUMNS = (
@@ -36,64 +42,44 @@ STATION_FIELDS = {
 STATION_NUMBERS = ("LATITUDE", "LONGITUDE", "ELEVATION")
 
 
-def unreadable(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """The files that cannot be read to their end, and why.
-
-    All files are read in one job; only if that fails is each tried by itself.
-    """
-
-    def read(*some: str) -> None:
-        spark.read.option("ignoreCorruptFiles", False).text(list(some)).write.format("noop").mode("overwrite").save()
-
-    found: dict[str, str] = {}
+def _land(spark: SparkSession, path: str, target: str) -> str | None:
+    """Write the columns in use of one file to ``target``; the reason if it cannot be read to its end."""
     try:
-        if paths:
-            read(*paths)
-    except Exception:  # the reader's errors and those of Java come as different classes
-        for path in paths:
-            try:
-                read(path)
-            except Exception as error:
-                found[path] = str(error).splitlines()[0]
-    return found
+        raw = spark.read.options(header=True, multiLine=True, escape='"', ignoreCorruptFiles=False).csv(path)
+        found = {name.strip().upper(): name for name in raw.columns}
+        if not found:
+            return "no header"
+        columns = [(F.col(f"`{found[c]}`") if c in found else F.lit(None)).cast("string").alias(c) for c in STORM_COLUMNS]
+        raw.select(*columns).write.parquet(target)
+    except Exception as error:  # the reader's errors and those of Java come as different classes
+        return str(error).splitlines()[0]
+    return None
 
 
 def read_storm_files(spark: SparkSession, paths: Sequence[str], rejects: str | None = None) -> DataFrame:
     """Yearly CSV files with header, reduced to the columns in use.
 
     Files of different years may order or lack columns, so each is read by its
-    own header and united by name. There is one file per year; the loop only
-    builds the plan. A file without a header, or one that cannot be read to its
-    end (a job reads all files when this is called), gives no rows at all: it is
-    named in a warning and, with its reason, in the JSON folder ``rejects``.
+    own header and united by name. Each file is read once, when this is called,
+    and its rows are written to the shared folder as Parquet, which later tasks
+    split where they could not split the archive. There is one file per year,
+    and one task can read it, so one small job per file, ``AT_ONCE`` together,
+    is as wide as one job over all. A file without a header, or one that cannot
+    be read to its end, gives no rows at all: it is named in a warning and, with
+    its reason, in the JSON folder ``rejects``. The others are not read again for it.
     """
-    frames, refused = [], unreadable(spark, paths)
-    for path in paths:
-        if path in refused:
-            continue
-        raw = spark.read.options(header=True, multiLine=True, escape='"', ignoreCorruptFiles=False).csv(path)
-        found = {name.strip().upper(): name for name in raw.columns}
-        if not found:
-            refused[path] = "no header"
-            continue
-        frames.append(
-            raw.select(
-                *[
-                    (F.col(f"`{found[name]}`") if name in found else F.lit(None)).cast("string").alias(name)
-                    for name in STORM_COLUMNS
-                ]
-            )
-        )
+    root = f"{shared_root(spark)}/storm-files/{uuid.uuid4().hex}"
+    targets = [f"{root}/{number}" for number in range(len(paths))]
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        reasons = list(pool.map(lambda pair: _land(spark, *pair), zip(paths, targets)))
+    refused = {path: reason for path, reason in zip(paths, reasons) if reason is not None}
     for path, reason in refused.items():
         logger.warning("skipping %s: %s", path, reason)
     if rejects is not None and refused:
         spark.createDataFrame(list(refused.items()), "path string, reason string").coalesce(1).write.mode("append").json(rejects)
-    if not frames:
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in STORM_COLUMNS]))
-    united = frames[0]
-    for frame in frames[1:]:
-        united = united.unionByName(frame)
-    return united
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in STORM_COLUMNS])
+    landed = [target for target, reason in zip(targets, reasons) if reason is None]
+    return spark.read.schema(schema).parquet(*landed) if landed else spark.createDataFrame([], schema)
 
 
 def read_readings(spark: SparkSession, path: str, years: Sequence[int] | None = None, spread: int | None = None) -> DataFrame:

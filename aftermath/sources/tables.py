@@ -1,13 +1,11 @@
 """Reading plain Parquet and JSON datasets."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from aftermath.session import durable
 from aftermath.spec import DatasetSpec, conform
 
 
-BROKEN = "_broken_page"
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system its scheme names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -46,30 +44,48 @@ def unwrap_records(df: DataFrame) -> DataFrame:
     raise ValueError(f"no list of records among fields {df.columns}")
 
 
-def read_landed_json(spark: SparkSession, path: str, spec: DatasetSpec, rejects: str | None = None) -> DataFrame:
-    """Landed API responses of a dataset, unwrapped and conformed.
+def _records(page: str) -> Column:
+    """The first list of objects of a parsed page, by name of its field, each object as a map of texts; null if there is none."""
+    fields = f"map_values(try_variant_get({page}, '$', 'map<string,variant>'))"
+    lists = f"filter(transform({fields}, f -> try_variant_get(f, '$', 'array<variant>')), l -> l IS NOT NULL)"
+    objects = f"transform({lists}, l -> transform(l, r -> try_variant_get(r, '$', 'map<string,string>')))"
+    # lists of other values give way to a list of objects, an empty list gives no rows
+    return F.expr(f"coalesce(get(filter({objects}, l -> get(l, 0) IS NOT NULL), 0), get(filter({objects}, l -> size(l) = 0), 0))")
+
 
-    A page that is not valid JSON is an error. With ``rejects`` it is left out
-    as a whole and named in that JSON folder instead, with what it holds. Pages
-    of empty lists have no rows.
+def read_landed_json(spark: SparkSession, path: str, spec: DatasetSpec, rejects: str | None = None) -> DataFrame:
+    """Landed API responses of a dataset, one page a file, unwrapped and conformed.
+
+    Pages are parsed as variants in one scan: no pass infers a schema, and the
+    records of one page need not have the fields of another. Names are found
+    trimmed and in any case, and only the dataset's fields are taken. A page
+    that is not valid JSON, has no list of records, or has another value among
+    them is an error. With ``rejects`` it is left out as a whole and named in
+    that JSON folder instead, with what it holds and why; the same scan, run
+    when this is called, writes rows and rejects. Pages of empty lists and
+    files of no bytes have no rows.
     """
-    mode = "FAILFAST" if rejects is None else "PERMISSIVE"
-    pages = spark.read.options(multiLine=True, mode=mode, columnNameOfCorruptRecord=BROKEN).json(path)
-    if BROKEN in pages.columns:
-        fields = [c for c in pages.columns if c != BROKEN]
-        # Spark answers questions about broken text only beside another field.
-        bad = pages.select(F.col("_metadata.file_path").alias("path"), F.col(BROKEN).alias("page"), F.to_json(F.struct(*fields)).alias("read")) if fields else (
-            spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("page"))
-        )
-        bad.where("page IS NOT NULL").write.mode("append").json(rejects)
-        if not fields:
-            return spark.createDataFrame([], spec.schema)
-        pages = pages.where(F.col(BROKEN).isNull()).drop(BROKEN)
-    lists = [f for f in pages.schema if isinstance(f.dataType, T.ArrayType)]
-    if lists and not any(isinstance(f.dataType.elementType, T.StructType) for f in lists):
-        if pages.where(" OR ".join(f"size(`{f.name}`) > 0" for f in lists)).isEmpty():
-            return spark.createDataFrame([], spec.schema)
-    return conform(unwrap_records(pages), spec)
+    pages = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("page"))
+    pages = pages.withColumn("parsed", F.try_parse_json("page")).withColumn("records", _records("parsed"))
+    reason = (
+        F.when(F.col("parsed").isNull(), "not valid JSON")
+        .when(F.col("records").isNull(), "no list of records")
+        .when(F.exists("records", lambda r: r.isNull()), "a record is not an object")
+    )
+    pages = pages.select("path", "page", "records", reason.alias("reason"))
+    if rejects is None:
+        refused = F.raise_error(F.concat_ws(": ", F.col("path"), F.col("reason"))).cast("array<map<string,string>>")
+        rows = pages.select(F.explode(F.when(F.col("reason").isNotNull(), refused).otherwise(F.col("records"))).alias("_r"))
+    else:
+        good = F.when(F.col("reason").isNull(), F.col("records"))
+        page = F.when(F.col("reason").isNotNull(), F.col("page")).alias("page")
+        read = durable(pages.select("path", page, "reason", F.explode_outer(good).alias("_r")))
+        read.where("reason IS NOT NULL").select("path", "page", "reason").write.mode("append").json(rejects)
+        rows = read.where("_r IS NOT NULL").select("_r")
+    names = F.transform(F.map_keys("_r"), lambda k: F.lower(F.trim(k)))
+    rows = rows.select(names.alias("_names"), F.map_values("_r").alias("_values"))
+    found = [F.get("_values", F.array_position("_names", c.lower()).cast("int") - 1).alias(c) for c in spec.columns]
+    return conform(rows.select(*found), spec)
 
 
 def sizes(df: DataFrame) -> DataFrame:

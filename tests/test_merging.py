@@ -179,6 +179,28 @@ def test_landed_json_is_unwrapped_and_conformed(spark, tmp_path):
         tables.unwrap_records(spark.range(1))
 
 
+def test_landed_pages_may_differ_in_fields_and_are_rejected_whole(spark, tmp_path):
+    pages = {
+        "a": {"count": 2, "Names": ["x"], "Rows": [{" DisasterNumber": 1, "totalObligatedAmountPa": None}, {"id": "k"}]},
+        "b": {"Rows": [{"disasterNumber": "2.0", "totalObligatedAmountPa": "7.5", "nested": {"u": [1]}}]},
+        "c": {"Rows": [{"disasterNumber": 3}, 4]},
+        "d": {"Names": ["x"]},
+        "e": [1, 2],
+        "f": {"Rows": [], "Names": []},
+    }
+    for name, page in pages.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(page, indent=1))
+    (tmp_path / "g.json").write_text(" ")
+    (tmp_path / "h.json").write_text("")
+    rejects = str(tmp_path / "rejects")
+    got = tables.read_landed_json(spark, str(tmp_path / "*.json"), DISASTER_SUMMARIES, rejects).collect()
+    assert {(r.disasterNumber, r.totalObligatedAmountPa, r.id) for r in got} == {(1, None, None), (None, None, "k"), (2, 7.5, None)}
+    why = {r.path.rsplit("/", 1)[1][0]: r.reason for r in spark.read.json(rejects).collect()}
+    assert {name: reason.split()[0] for name, reason in why.items()} == {"c": "a", "d": "no", "e": "no", "g": "not"}
+    with pytest.raises(Exception, match="no list of records"):
+        tables.read_landed_json(spark, str(tmp_path / "d.json"), DISASTER_SUMMARIES).count()
+
+
 def test_datasets_load_empty_when_absent(spark, tmp_path):
     assert tables.load_dataset(spark, str(tmp_path), DISASTER_SUMMARIES).count() == 0
     project(spark, (1, 1, 5.0, "a")).write.parquet(str(tmp_path / "public_assistance.parquet"))
@@ -201,6 +223,7 @@ def test_archive_readers(spark, tmp_path):
         out.write("CZ_TYPE,STATE_FIPS,CZ_FIPS,BEGIN_DATE_TIME,END_DATE_TIME,EVENT_TYPE,MAGNITUDE,MAGNITUDE_TYPE\nC,48,3,29-APR-96 14:30:00,30-APR-96 14:30:00,Hail,2,EG\n")
     events = archives.read_storm_files(spark, [str(tmp_path / "a.csv.gz"), str(tmp_path / "b.csv.gz")])
     assert sorted((r.CZ_FIPS, r.MAGNITUDE, r.MAGNITUDE_TYPE) for r in events.collect()) == [("1", "1.5", None), ("3", "2", "EG")]
+    assert not any(".csv" in path for path in events.inputFiles())  # the archives are read once
     assert archives.read_storm_files(spark, []).count() == 0
     (tmp_path / "c.csv.gz").write_bytes(b"not gzip at all")
     (tmp_path / "empty.csv").write_text("")
