@@ -5,7 +5,8 @@ import uuid
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F, types as T
 
-from aftermath.operators.cleaning import clean_storm_events
+from aftermath.operators import explore
+from aftermath.operators.cleaning import clean_storm_events, county_declarations, exclude_kind
 from aftermath.plans import ingest as staging, training
 from aftermath.session import shared_root
 from aftermath.sources import archives, tables
@@ -203,7 +204,68 @@ SELECT count(*) AS n, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope
        round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept
 FROM lineitem"""
 
+
+
+def loaded_dataset(spark, folder):
+    """Declarations landed with other names and types and loaded as the registered dataset; exposures are absent."""
+    root = scratch(spark, "processed")
+    rows = declarations(spark, folder).select(
+        F.col("id").alias(" ID"),
+        F.concat("disasternumber", F.lit(".0")).alias("disasternumber"),
+        F.col("state").alias("STATE"),
+        F.col("applicant").alias("not_in_the_dataset"),
+    )
+    rows.write.parquet(f"{root}/{DECLARATIONS.name}.parquet")
+    loaded = tables.load_dataset(spark, root, DECLARATIONS)
+    storms = tables.load(spark, f"{root}/storm_exposure.parquet", tables.STORM_SCHEMA)
+    gates = [explore.quality_gate(frame, DECLARATIONS.columns)["ok"] for frame in (loaded, tables.load_dataset(spark, root, CUSTOMERS))]
+    both = loaded.join(storms, loaded["disasterNumber"] == storms["disasternumber"], "left")
+    return both.select(
+        "id", loaded["disasterNumber"].alias("number"), "state", "lastRefresh", "storm_event_count",
+        *(F.lit(ok).alias(name) for ok, name in zip(gates, ("usable", "absent_usable"))),
+    )
+
+
+LOADED_DATASET = with_ctes(
+    """
+SELECT CAST(id AS VARCHAR) AS id, disasternumber AS number, state, CAST(NULL AS VARCHAR) AS "lastRefresh",
+       CAST(NULL AS BIGINT) AS storm_event_count, TRUE AS usable, FALSE AS absent_usable
+FROM decl""",
+    DECLARATIONS_SQL,
+)
+
+
+def county_windows(spark, folder):
+    """Declarations of every kind but one, three county rows each, as distinct (disaster, place, begin, end) for weather matching."""
+    kind = F.when(F.col("id") % 10 != 0, F.col("incidenttype")).alias("incidentType")
+    rows = declarations(spark, folder).select(
+        F.concat("disasternumber", F.lit(".0")).alias("disasterNumber"),
+        kind,
+        F.when(F.col("id") % 13 != 0, (F.col("place") % 56).cast("string")).alias("fipsStateCode"),
+        (F.col("place") % 1000).alias("_county"),
+        F.date_format("incidentbegindate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("incidentBeginDate"),
+        F.date_format("incidentenddate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("incidentEndDate"),
+    )
+    counties = F.explode(F.array(*(((F.col("_county") + shift) % 1000).cast("string") for shift in (0, 0, 7))))
+    found = county_declarations(exclude_kind(rows.withColumn("fipsCountyCode", counties), "incidentType", "Biological"))
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("incidentbegindate", "incidentenddate")}
+    return found.withColumns(times)
+
+
+COUNTY_WINDOWS = with_ctes(
+    """
+SELECT DISTINCT disasternumber,
+       lpad(CAST(place % 56 AS VARCHAR), 2, '0') || lpad(CAST((place % 1000 + shift) % 1000 AS VARCHAR), 3, '0') AS place,
+       strftime(incidentbegindate, '%Y-%m-%d %H:%M:%S') AS incidentbegindate,
+       strftime(incidentenddate, '%Y-%m-%d %H:%M:%S') AS incidentenddate
+FROM decl, (VALUES (0), (0), (7)) AS shifts(shift)
+WHERE id % 13 <> 0 AND (id % 10 = 0 OR incidenttype <> 'Biological')""",
+    DECLARATIONS_SQL,
+)
+
 QUERIES = {
+    "loaded_dataset": (loaded_dataset, LOADED_DATASET),
+    "county_windows": (county_windows, COUNTY_WINDOWS),
     "storm_archive": (storm_archive, STORM_ARCHIVE),
     "readings_archive": (readings_archive, READINGS_ARCHIVE),
     "landed_json": (landed_json, LANDED_JSON),
