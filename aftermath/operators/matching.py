@@ -17,12 +17,10 @@ LOW_MATCH_PERCENT = 30.0
 TOP_BLOCK = 5
 
 
-# Pieces of a window that are no blocks of days: the rest of its first day, the begin of its last.
-START_EDGE, END_EDGE = -1, -2
-
-
-def _totals() -> list[Column]:
-    return [F.max("_wind").alias("_wind"), F.sum("_flood").alias("_flood"), F.sum("_events").alias("_events")]
+# Time is cut into aligned blocks of 2^0 to 2^41 microseconds (25 days) at a place.
+WIDEST_LEVEL = 41
+# Sides of a block: from a time to its end, from its begin to a time.
+SINCE, UPTO = 0, 1
 
 
 def _micros(time: str) -> Column:
@@ -117,43 +115,37 @@ def summarise_matches(
     )
 
 
-def _block_measures(instants: DataFrame, windows: DataFrame, place: str, time: str) -> DataFrame:
-    """What the events of each piece of a window add up to, as (place, _level, _block, measures).
+def _side(side: int, level: Column | int, time: Column) -> Column:
+    """The part of the block of ``level`` around ``time`` that lies on one side of it, ``time`` included."""
+    level = F.lit(level).cast("int") if isinstance(level, int) else level
+    return F.struct(
+        F.shiftright(time, WIDEST_LEVEL).alias("_block"),
+        (level * 2 + side).alias("_code"),
+        F.call_function("shiftright", time, level).alias("_part"),
+        (time if side == UPTO else -time).alias("_time"),
+    )
+
+
+def _sides(first: Column, last: Column) -> Column:
+    """The sides of blocks that a span of microseconds consists of.
 
-    Levels 0 to ``TOP_BLOCK`` are aligned blocks of whole days. Level -1 is the
-    rest of the day a window starts in, level -2 the day a window ends in up to
-    that end; their block is the window's own time. Both come from running
-    totals over one place and day.
+    Within one widest block these are two: the highest bit in which the bounds
+    differ names the level at which they lie in neighbouring blocks, and the
+    span is the end of one and the begin of the other. A longer span has the
+    end of its first widest block, the begin of its last one, and those between.
     """
-    whole = in_blocks(
-        instants.withColumn("_day", F.col(time).cast("date")).groupBy(place, "_day").agg(*_totals()), "_day", TOP_BLOCK
-    )
-    whole = whole.groupBy(place, "_level", "_block").agg(*_totals())
-    ends = F.array(
-        F.struct(F.lit(START_EDGE).alias("_level"), F.col("window_start").alias("_time")),
-        F.struct(F.lit(END_EDGE).alias("_level"), F.col("window_end").alias("_time")),
-    )
-    marks = windows.select(place, F.explode(ends).alias("_m")).select(place, "_m.*").distinct()
-    lined = marks.unionByName(
-        instants.select(place, F.col(time).alias("_time"), "_wind", "_flood", "_events"), allowMissingColumns=True
-    ).withColumn("_day", F.col("_time").cast("date"))
-    within = Window.partitionBy(place, "_day")
-    upto = within.orderBy("_time").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    since = within.orderBy(F.desc("_time")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def running(total: str, measure) -> Column:
-        start = F.col("_level") == START_EDGE
-        return F.when(start, measure(total).over(since)).otherwise(measure(total).over(upto)).alias(total)
-
-    edges = lined.select(
-        place,
-        "_level",
-        _micros("_time").alias("_block"),
-        running("_wind", F.max),
-        running("_flood", F.sum),
-        running("_events", F.sum),
+    apart = first.bitwiseXOR(last)
+    level = (F.length(F.bin(apart)) - 1).cast("int")
+    block, stop = F.shiftright(first, WIDEST_LEVEL), F.shiftright(last, WIDEST_LEVEL)
+    ends = F.shiftleft(F.lit(1).cast("long"), WIDEST_LEVEL)
+    # a descending sequence would not be empty
+    between = F.when(stop - block > 1, F.sequence(block + 1, stop - 1)).otherwise(F.array().cast("array<bigint>"))
+    whole = F.transform(between, lambda b: _side(UPTO, WIDEST_LEVEL, (b + 1) * ends - 1))
+    return (
+        F.when(first == last, F.array(_side(UPTO, 0, last)))
+        .when(block == stop, F.array(_side(SINCE, level, first), _side(UPTO, level, last)))
+        .otherwise(F.concat(F.array(_side(SINCE, WIDEST_LEVEL, first), _side(UPTO, WIDEST_LEVEL, last)), whole))
     )
-    return whole.unionByName(edges.where("_level IS NOT NULL AND _events IS NOT NULL"))
 
 
 def storm_exposure(
@@ -169,49 +161,62 @@ def storm_exposure(
 ) -> DataFrame:
     """What ``summarise_matches(match_events(...))`` gives, without building the pairs.
 
-    Events are first reduced to one row per place and begin time, and windows to
-    the distinct ones of a place. A window is then cut into the rest of its
-    first day, aligned blocks of whole days and the begin of its last day, and
-    meets the totals of these pieces by equality, so the work grows with the
-    windows and the events, not with their product, and a busy place is spread
-    over its days. Only windows within one day, which no buffer of whole days
-    gives unless an incident ends before it begins, are compared with that
-    day's events one by one.
+    Events are first reduced to one row per place and begin time. A window is
+    cut into sides of aligned blocks of time, two in most cases, and lies with
+    the events in the widest blocks of its place: one shuffle, after which every
+    step stays in its task. Events of blocks without a window are left out, the
+    others are put at the levels that windows of their block ask for, and a
+    running total gives what is on a side. So the work grows with the windows
+    and the events, not with their product, and a busy place is spread over its
+    blocks.
     """
     spans = (
         declarations.select(key, place, begin, end)
         .dropna(subset=[key, place, begin])
         .distinct()
         .transform(with_window, begin, end, days)
+        .where("window_start <= window_end")
     )
     instants = (
         events.dropna(subset=[place, event_begin])
         .withColumns(measures)
-        .groupBy(place, event_begin)
+        .groupBy(F.col(place).alias("_place"), _micros(event_begin).alias("_time"))
         .agg(
             F.max("_wind").alias("_wind"),
             F.sum("_flood").alias("_flood"),
             F.count(F.lit(1)).alias("_events"),
         )
     )
-    windows = spans.select(place, "window_start", "window_end").where("window_start <= window_end").distinct()
-    first, last = F.col("window_start").cast("date"), F.col("window_end").cast("date")
-    window = [place, "window_start", "window_end"]
-    long = windows.where(first < last)
-    inner = long.withColumns({"_first": F.date_add(first, 1), "_last": F.date_sub(last, 1)})
-    edges = F.array(
-        F.struct(F.lit(START_EDGE).alias("_level"), _micros("window_start").alias("_block")),
-        F.struct(F.lit(END_EDGE).alias("_level"), _micros("window_end").alias("_block")),
+    sides = F.explode(_sides(_micros("window_start"), _micros("window_end"))).alias("_s")
+    marks = spans.select(F.col(key).alias("_key"), F.col(place).alias("_place"), sides).select("_key", "_place", "_s.*")
+    rows = marks.unionByName(instants.withColumn("_block", F.shiftright("_time", WIDEST_LEVEL)), allowMissingColumns=True)
+    block = Window.partitionBy("_place", "_block")
+    # the events of a block, and the sides that its windows ask for
+    rows = rows.withColumns({"_all": F.sum("_events").over(block), "_codes": F.collect_set("_code").over(block)})
+    measured = ["_wind", "_flood", "_events"]
+    asked = F.when(F.col("_code").isNotNull() & F.col("_all").isNotNull(), F.array("_code")).when(F.col("_code").isNull(), F.col("_codes"))
+    lined = rows.withColumn("_at", F.explode(asked))
+    side, level = F.col("_at") % 2, F.floor(F.col("_at") / 2).cast("int")
+    lined = lined.select(
+        "_key",
+        "_place",
+        "_block",
+        F.col("_at").alias("_code"),
+        F.coalesce("_part", F.call_function("shiftright", F.col("_time"), level)).alias("_part"),
+        F.when(F.col("_key").isNotNull() | (side == UPTO), F.col("_time")).otherwise(-F.col("_time")).alias("_time"),
+        *measured,
+    )
+    upto = Window.partitionBy("_place", "_block", "_code", "_part").orderBy("_time")
+    upto = upto.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = lined.select(
+        "_key",
+        F.max("_wind").over(upto).alias("_wind"),
+        F.sum("_flood").over(upto).alias("_flood"),
+        F.sum("_events").over(upto).alias("_events"),
     )
-    pieces = day_blocks(inner, "_first", "_last", TOP_BLOCK).select(*window, "_level", F.col("_block").cast("long").alias("_block"))
-    pieces = pieces.unionByName(long.select(*window, F.explode(edges).alias("_e")).select(*window, "_e.*"))
-    met = pieces.join(_block_measures(instants, long, place, event_begin), [place, "_level", "_block"])
-    short = match_events(windows.where(first == last), instants, place, event_begin, bucket_days=1)
-    measured = [*window, "_wind", "_flood", "_events"]
-    per_window = met.select(*measured).unionByName(short.select(*measured)).groupBy(*window).agg(*_totals())
     return (
-        spans.join(per_window, [place, "window_start", "window_end"])
-        .groupBy(key)
+        found.where("_key IS NOT NULL AND _events IS NOT NULL")
+        .groupBy(F.col("_key").alias(key))
         .agg(
             F.max("_wind").alias("wind_speed"),
             F.sum("_flood").alias("flood_severity"),

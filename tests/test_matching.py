@@ -167,3 +167,26 @@ def test_newest_versions(spark):
     listing = spark.createDataFrame([(n,) for n in names], "name string")
     row = matching.newest_versions(listing, "name", STORM_FILE, range(1996, 2027)).collect()
     assert [(r.year, r.version) for r in row] == [(2001, "20210101")]
+
+
+def test_exposure_deals_its_rows_out_once(spark, busy):
+    """Events and windows meet in one shuffle; the others make events and windows distinct and sum up the disasters."""
+    decl, event = busy
+    exposed = matching.storm_exposure(decl, event, matching.storm_measures(*MEASURES))
+    plan = exposed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_exposure_of_spans_of_any_length(spark):
+    """From an instant over some microseconds to decades, on both sides of 1970."""
+    starts = [T0 - timedelta(days=20000), datetime(1969, 12, 31, 23, 59, 59, 999999), T0, T0 + timedelta(microseconds=1)]
+    lengths = [timedelta(0), timedelta(microseconds=1), timedelta(hours=7), timedelta(days=1), timedelta(days=26), timedelta(days=9000)]
+    spans = [(10 * i + j, "a", s, s + d) for i, s in enumerate(starts) for j, d in enumerate(lengths)]
+    times = sorted({t + timedelta(microseconds=m) for _, _, s, e in spans for t in (s, e) for m in (-1, 0, 1)})
+    hits = [("a", t, "Flood" if n % 2 else "Hail", float(n * 37 % 101), "EG") for n, t in enumerate(times)]
+    exposed = matching.storm_exposure(windows(spark, spans), events(spark, hits), matching.storm_measures(*MEASURES), days=0)
+    want = {}
+    for key, _, s, e in spans:
+        inside = [h for h in hits if s <= h[1] <= e]
+        want[key] = (max(h[3] for h in inside), sum(h[2] == "Flood" for h in inside) or None, len(inside))
+    assert {r.disasternumber: (r.wind_speed, r.flood_severity, r.storm_event_count) for r in exposed.collect()} == want
