@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aftermath.operators import cursors, merging
 from aftermath.operators.ranking import keep_first
-from aftermath.session import durable
+from aftermath.session import TASK_ROWS, dealt, durable
 from aftermath.sources import statistics
 from aftermath.sources.tables import path_exists, sizes
 
@@ -50,6 +50,7 @@ class Snapshot:
 
     ``digests`` has, for the newest folder of a bucket, the digest of the rows
     that led to it, the number of their keys and how many of these were stale.
+    ``keys`` has the most rows that the folders of a bucket hold.
     """
 
     version: int
@@ -57,6 +58,11 @@ class Snapshot:
     buckets: dict[int, tuple[str, ...]] = field(default_factory=dict)
     width: int | None = None
     digests: dict[int, tuple[str, int, int]] = field(default_factory=dict)
+    keys: dict[int, int] = field(default_factory=dict)
+
+    def rows(self, only: list[int] | None = None) -> int:
+        """The most rows that some buckets hold."""
+        return sum(n for b, n in self.keys.items() if only is None or b in only)
 
 
 class CommitLog:
@@ -105,13 +111,16 @@ class CommitLog:
         if state.version is None:
             return Snapshot(0, None)
         buckets: dict[int, tuple[str, ...]] = {}
+        keys: dict[int, int] = {}
         for r in entries:
             if r.kind == "base":
                 buckets[r.bucket] = (r.folder,)
+                keys[r.bucket] = r.keys or 0
             elif r.kind == "delta":
                 buckets[r.bucket] = (*buckets.get(r.bucket, ()), r.folder)
+                keys[r.bucket] = keys.get(r.bucket, 0) + (r.keys or 0)
         digests = {r.bucket: (r.digest, r.keys, r.stale) for r in entries if r.kind != "commit"}
-        return Snapshot(state.version, T.StructType.fromJson(json.loads(state.layout)), buckets, state.width, digests)
+        return Snapshot(state.version, T.StructType.fromJson(json.loads(state.layout)), buckets, state.width, digests, keys)
 
     def sources(self) -> DataFrame:
         return self.rows().where("source IS NOT NULL").select("source").distinct()
@@ -260,6 +269,7 @@ class KeyedStore:
             # the folder of a delta begins with a number that grows from one to the next
             deltas = read.parquet(*changes)
             deltas = deltas.withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), r"/data/([^/]+)/", 1))
+            deltas = dealt(deltas, [self.key], state.rows(only))
             newest = keep_first(deltas, [self.key], [F.desc("_folder")]).drop("_folder").select(*state.layout.names)
             parts.append(newest)
             if based:
@@ -276,27 +286,38 @@ class KeyedStore:
         found = statistics.read(self.spark, f"{self.root}/stats", known, state.layout, self.key, self.cursor)
         return {(b, f) for b, f in live if f not in written}, found
 
-    def _holding(self, state: Snapshot, rows: DataFrame, only: list[int] | None = None) -> set[tuple[int, str]] | None:
-        """The (bucket, folder) that may have a key of ``rows``: at most one per live file is collected."""
+    def _sought(self, rows: DataFrame) -> DataFrame:
+        """The bitmaps of the keys of ``rows``, with the number of rows of each."""
+        keys = self.bucketed(rows.where(F.col(self.key).isNotNull()).select(self.key))
+        return statistics.key_bitmaps(keys, self.key, F.count(F.lit(1)).alias("n"))
+
+    def _holding(self, state: Snapshot, sought: DataFrame, only: list[int] | None = None) -> set[tuple[int, str]] | None:
+        """The (bucket, folder) that may have a key of ``sought``: at most one per live file is collected."""
         opened, found = self._statistics(state, only)
         if found is None:
             return None
-        sought = statistics.key_bitmaps(self.bucketed(rows.where(F.col(self.key).isNotNull()).select(self.key)), self.key)
         return opened | {(r.bucket, r.folder) for r in statistics.meeting(found, sought).collect()}
 
+    def _stored_keys(self, state: Snapshot, rows: DataFrame) -> DataFrame:
+        """The distinct keys of the files that may have one of ``rows``, dealt out as both ask for."""
+        sought = durable(self._sought(rows))
+        stored = self._at(state, None, self._holding(state, sought)).select(self.key)
+        many = sought.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head().n + state.rows()
+        return dealt(stored, [self.key], many).distinct()
+
     def known(self, rows: DataFrame) -> DataFrame:
         """The rows whose key is stored. Opens the files whose key range and bitmap meet those of ``rows``."""
         state = self.log.snapshot()
         if state.layout is None:
             return rows.limit(0)
-        return merging.known_rows(rows, self._at(state, None, self._holding(state, rows)), [self.key])
+        return rows.join(self._stored_keys(state, rows), [self.key], "left_semi")
 
     def fresh(self, rows: DataFrame) -> DataFrame:
         """The rows whose key is not stored, null keys among them; opens what ``known`` does."""
         state = self.log.snapshot()
         if state.layout is None:
             return rows
-        return merging.new_rows(rows, self._at(state, None, self._holding(state, rows)), [self.key])
+        return rows.join(self._stored_keys(state, rows), [self.key], "left_anti")
 
     def rows_after(self, time, key) -> DataFrame | None:
         """The current rows after the mark (time, then key). Opens the files with a cursor of that time or later.
@@ -340,7 +361,7 @@ class KeyedStore:
             after = after.unionByName(whole)
         after = durable(after)
         touched = [*added, *replaced]
-        before = merging.known_rows(self._at(shape, touched, self._holding(shape, after, touched)), after, [self.key])
+        before = merging.known_rows(self._at(shape, touched, self._holding(shape, self._sought(after), touched)), after, [self.key])
         return after.withColumn("change", F.lit("after")).unionByName(before.withColumn("change", F.lit("before")))
 
     def stored_sizes(self) -> tuple[int, float]:
@@ -363,7 +384,7 @@ class KeyedStore:
         """Write rows by bucket to a folder of their own; its name."""
         folder = f"{version:012d}-{uuid.uuid4().hex}"
         # Rebalancing groups rows by bucket, and splits a bucket too big for one task.
-        written = self.bucketed(rows).hint("rebalance", "bucket").write.option("compression", "gzip")
+        written = self.bucketed(rows).hint("rebalance", "bucket").write.option("compression", "zstd")
         written.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
         stored = self.spark.read.schema(self.bucketed(rows).schema).parquet(f"{self.root}/data/{folder}")
         statistics.write(stored, f"{self.root}/stats/{folder}", self.key, self.cursor)
@@ -462,10 +483,12 @@ class KeyedStore:
     def _judged(self, state: Snapshot, incoming: DataFrame, wanted: list[int], received: int, arrival: str | None) -> DataFrame:
         """The newest rows of the keys of some buckets, with their bucket and outcome."""
         rows = self.bucketed(incoming.where(F.col(self.key).isNotNull())).where(F.col("bucket").isin(wanted)).drop("bucket")
+        # one dealing-out serves the newest rows, the keys and the join with the stored rows
+        rows = dealt(rows, [self.key], received + state.rows(wanted) if received > TASK_ROWS else 0)
         if arrival is not None:
             rows = merging.keep_latest(rows, [self.key], self.cursor, [arrival]).drop(arrival)
         few = state.layout is not None and received <= FEW_KEYS * len(wanted)
-        stored = self._at(state, wanted, self._holding(state, rows, wanted) if few else None)
+        stored = self._at(state, wanted, self._holding(state, self._sought(rows), wanted) if few else None)
         if stored is None:
             stored = self.spark.createDataFrame([], rows.schema)
         return durable(self.bucketed(merging.classify(stored, rows, [self.key], self.cursor)))

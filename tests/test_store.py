@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from aftermath import session
 from aftermath.sources import store as stores
 from aftermath.sources.store import CommitConflict, CommitLog, KeyedStore
 
@@ -122,3 +123,21 @@ def test_a_batch_is_applied_once(spark, tmp_path):
     first = store.upsert(rows(spark, 0, 20, "a"), batch=("stream", 4))
     assert store.upsert(rows(spark, 0, 20, "a"), batch=("stream", 4)) == first and first["new"] == 20
     assert store.upsert(rows(spark, 0, 20, "a"), batch=("other", 4))["unchanged"] == 20
+
+
+def test_tasks_follow_the_rows_of_a_search(spark, tmp_path, monkeypatch):
+    """The partitions of a search are as many as its rows ask for, and its results stay the same."""
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    monkeypatch.setattr(stores, "TASK_ROWS", 100)
+    store = stores.KeyedStore(spark, f"{tmp_path}/dealt", "k", "t", buckets=2)
+    rows = spark.range(2000).select(F.col("id").alias("k"), F.lit(1).alias("t"), (F.col("id") % 7).alias("v"))
+    assert store.upsert(rows)["new"] == 2000
+    assert store.upsert(rows.where("k >= 1500").withColumns({"t": F.lit(2), "v": F.lit(9).cast("long")}))["updated"] == 500
+    assert store.log.snapshot().rows() == 2500
+    sought = spark.range(1000, 3000).withColumnRenamed("id", "k")
+    known, fresh = store.known(sought), store.fresh(sought)
+    for found in (known, fresh):  # 2,500 stored rows and 2,000 sought ones
+        assert ", 45), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert (known.count(), known.agg(F.max("k")).head()[0]) == (1000, 1999)
+    assert (fresh.count(), fresh.agg(F.min("k")).head()[0]) == (1000, 2000)
+    assert (store.read().count(), store.read().where("v = 9").count()) == (2000, 500)
