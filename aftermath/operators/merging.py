@@ -93,20 +93,29 @@ def classify(
     return fresh.join(stored, on, "left").select("i.*", outcome.alias("outcome"))
 
 
+def compare_records(left: DataFrame, *others: DataFrame) -> DataFrame:
+    """One row: ``n`` rows of ``left``, and ``same``, whether each of ``others`` holds the same rows the same number of times (null = null).
+
+    A column that one side lacks counts as null there. All sides meet in one
+    grouping. Sides that lie dealt out by the same keys, as those of ``merge``
+    and ``keep_latest`` do, are compared where they lie; written ones
+    (``durable``) no longer do, so rows move once more for these.
+    """
+    sides = [df.withColumn("_side", F.lit(i)) for i, df in enumerate((left, *others))]
+    tagged = union_by_name(*sides)
+    columns = [F.col(f"`{c}`") for c in tagged.columns if c != "_side"]
+    counts = [F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(len(sides))]
+    equal = [F.coalesce(F.bool_and(F.col("_n0") == F.col(f"_n{i}")), F.lit(True)) for i in range(1, len(sides))]
+    records = tagged.groupBy(*columns).agg(*counts)
+    return records.agg(F.coalesce(F.sum("_n0"), F.lit(0)).alias("n"), F.array(*equal).alias("same"))
+
+
 def same_records(left: DataFrame, right: DataFrame) -> bool:
     """Whether two batches hold the same rows the same number of times (null = null).
 
     A column that one side lacks counts as null there.
     """
-    for one, other in ((left, right), (right, left)):
-        for name in set(one.columns) - set(other.columns):
-            if not one.where(F.col(name).isNotNull()).isEmpty():
-                return False
-    columns = sorted(set(left.columns) & set(right.columns))
-    tagged = left.select(*columns, F.lit(1).alias("_side")).unionByName(
-        right.select(*columns, F.lit(-1).alias("_side"))
-    )
-    return tagged.groupBy(*columns).agg(F.sum("_side").alias("_d")).where("_d <> 0").isEmpty()
+    return compare_records(left, right).head().same[0]
 
 
 def known_rows(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:

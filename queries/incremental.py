@@ -195,13 +195,10 @@ FROM (SELECT DISTINCT p_partkey AS p FROM part) FULL JOIN (SELECT DISTINCT o_cus
 def same_batches(spark, folder):
     """Whether the merged lines equal the newest of all lines, and a merge repeated equals itself."""
     stored, incoming = sides(spark, folder)
-    merged = durable(merging.merge(stored, incoming, LINE, "l_shipdate"))
+    merged = merging.merge(stored, incoming, LINE, "l_shipdate")
     again = merging.merge(merged, incoming, LINE, "l_shipdate")
-    newest = dedup_latest(spark, folder)
-    flag = merging.same_records(merged, newest)
-    return merged.agg(F.count(F.lit(1)).alias("n")).select(
-        "n", F.lit(merging.same_records(merged, again)).alias("replay_equal"), F.lit(flag).alias("equals_all")
-    )
+    told = merging.compare_records(merged, again, dedup_latest(spark, folder))
+    return told.select("n", F.col("same")[0].alias("replay_equal"), F.col("same")[1].alias("equals_all"))
 
 
 SAME_BATCHES = f"""
