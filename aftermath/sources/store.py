@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aftermath.operators import cursors, merging
 from aftermath.operators.ranking import keep_first
-from aftermath.session import TASK_ROWS, dealt, durable
+from aftermath.session import TASK_ROWS, dealt, durable, task_rows
 from aftermath.sources import statistics
 from aftermath.sources.tables import path_exists, sizes
 
@@ -484,7 +484,7 @@ class KeyedStore:
         """The newest rows of the keys of some buckets, with their bucket and outcome."""
         rows = self.bucketed(incoming.where(F.col(self.key).isNotNull())).where(F.col("bucket").isin(wanted)).drop("bucket")
         # one dealing-out serves the newest rows, the keys and the join with the stored rows
-        rows = dealt(rows, [self.key], received + state.rows(wanted) if received > TASK_ROWS else 0)
+        rows = dealt(rows, [self.key], received + state.rows(wanted) if received > task_rows(rows, TASK_ROWS) else 0)
         if arrival is not None:
             rows = merging.keep_latest(rows, [self.key], self.cursor, [arrival]).drop(arrival)
         few = state.layout is not None and received <= FEW_KEYS * len(wanted)

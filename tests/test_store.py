@@ -141,3 +141,12 @@ def test_tasks_follow_the_rows_of_a_search(spark, tmp_path, monkeypatch):
     assert (known.count(), known.agg(F.max("k")).head()[0]) == (1000, 1999)
     assert (fresh.count(), fresh.agg(F.min("k")).head()[0]) == (1000, 2000)
     assert (store.read().count(), store.read().where("v = 9").count()) == (2000, 500)
+
+
+def test_wide_rows_are_dealt_out_over_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    narrow = spark.range(1000).withColumn("v", F.lit("x"))
+    wide = narrow.withColumns({f"c{i}": F.lit("x") for i in range(23)})
+    assert session.dealt(narrow, ["id"], 1000).rdd.getNumPartitions() == 10
+    assert session.dealt(wide, ["id"], 1000).rdd.getNumPartitions() >= 60
+    assert session.dealt(wide, ["id"], 10).rdd.getNumPartitions() == wide.rdd.getNumPartitions()
