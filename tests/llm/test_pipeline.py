@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from aftermath.llm import decontaminate, jaccard, simhash
-from aftermath.llm.shared import Workspace, table
+from aftermath.llm.shared import Workspace, components, table
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -153,3 +154,28 @@ def test_unique_tells_texts_of_one_id_apart(spark):
     rows = [(1, first), (2, other), (2, other), (2, first), (3, other), (None, first)]
     kept = corpus_pipeline.unique(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER).collect()
     assert sorted(map(tuple, kept), key=str) == sorted([(1, first), (2, other), (None, first)], key=str)
+
+
+def test_links_that_are_stars_take_no_round(spark):
+    class Seen(Workspace):
+        def write(self, df, name, batch_bytes=None):
+            names.append(name)
+            return super().write(df, name, batch_bytes)
+
+    names = []
+    stars = spark.createDataFrame([(1, 7), (9, 1), (1, 8), (3, 4)], "a long, b long")
+    assert {tuple(r) for r in components(Seen(spark, "stars"), stars).collect()} == {(1, 1), (7, 1), (8, 1), (9, 1), (3, 3), (4, 3)}
+    assert names == ["links-0"]
+    more = spark.createDataFrame([(8, 4), (5, 6), (6, 5), (2, 2)], "a long, b long").unionByName(stars)
+    assert {tuple(r) for r in components(Seen(spark, "stars"), more).collect()} == {(n, 1) for n in (1, 3, 4, 7, 8, 9)} | {(5, 5), (6, 5)}
+    chain = spark.createDataFrame([(n, n + 1) for n in range(40)], "a long, b long")
+    assert {tuple(r) for r in components(Seen(spark, "stars"), chain).collect()} == {(n, 0) for n in range(41)}
+
+
+def test_keys_of_several_bands_are_not_written_out_for_each(spark):
+    keys = spark.range(2).selectExpr(f"transform(sequence(1, {jaccard.BANDS}), i -> xxhash64(id, i)) AS keys")
+    cut = jaccard.ROUNDS[-1]
+    joined = keys.select("keys", jaccard._joined_bands(F.col("keys"), cut).alias("joined"))
+    assert joined._jdf.queryExecution().analyzed().toString().count("xxhash64") <= len(cut) + 1
+    alone = [F.xxhash64(*(F.col("keys")[(i + d) % jaccard.BANDS] for d in choice), F.lit(len(choice))) for choice in cut for i in range(jaccard.BANDS)]
+    assert all(r.joined == r.alone for r in joined.withColumn("alone", F.array(*alone)).collect())
