@@ -187,8 +187,11 @@ def storm_exposure(
             F.count(F.lit(1)).alias("_events"),
         )
     )
-    sides = F.explode(_sides(_micros("window_start"), _micros("window_end"))).alias("_s")
-    marks = spans.select(F.col(key).alias("_key"), F.col(place).alias("_place"), sides).select("_key", "_place", "_s.*")
+    # The bounds are columns of their own: a side uses them several times, and conversions of time are slow.
+    bounds = {"_first": _micros("window_start"), "_last": _micros("window_end")}
+    spans = spans.withColumns(bounds).select(F.col(key).alias("_key"), F.col(place).alias("_place"), *bounds)
+    sides = F.explode(_sides(F.col("_first"), F.col("_last"))).alias("_s")
+    marks = spans.select("_key", "_place", sides).select("_key", "_place", "_s.*")
     rows = marks.unionByName(instants.withColumn("_block", F.shiftright("_time", WIDEST_LEVEL)), allowMissingColumns=True)
     block = Window.partitionBy("_place", "_block")
     # the events of a block, and the sides that its windows ask for

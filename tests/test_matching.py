@@ -190,3 +190,12 @@ def test_exposure_of_spans_of_any_length(spark):
         inside = [h for h in hits if s <= h[1] <= e]
         want[key] = (max(h[3] for h in inside), sum(h[2] == "Flood" for h in inside) or None, len(inside))
     assert {r.disasternumber: (r.wind_speed, r.flood_severity, r.storm_event_count) for r in exposed.collect()} == want
+
+
+def test_storm_exposure_converts_the_bounds_of_a_window_once(spark):
+    decl = windows(spark, [(1, "a", T0, None), (2, "b", T0, T0 + timedelta(days=40))])
+    hits = events(spark, [("a", T0, "Flood", 7.0, "EG"), ("a", T0, "Flood", 8.0, "EG"), ("b", T0 + timedelta(days=42), "Hail", 9.0, "XX")])
+    got = matching.storm_exposure(decl, hits, matching.storm_measures(*MEASURES))
+    sides = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate explode" in line and "_first" in line]
+    assert len(sides) == 1 and "timestampdiff" not in sides[0]
+    assert sorted(map(tuple, got.collect())) == [(1, 8.0, 2, 2), (2, None, None, 1)]
