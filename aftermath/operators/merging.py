@@ -64,20 +64,23 @@ def _same_values(left: str, right: str, columns: Sequence[str]) -> Column:
 
 
 def classify(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], cursor: str
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], cursor: str, few: bool = True
 ) -> DataFrame:
     """Incoming records, newest per key, with what each means for the stored table.
 
     ``new``: key not stored. ``unchanged``: same values in the columns both
     sides have, nulls being equal, and no value in a column that the stored
     table lacks. ``stale``: an older version than the stored one; a null cursor
-    is older than any value. ``updated``: anything else.
+    is older than any value. ``updated``: anything else. ``few`` says that the
+    incoming keys may be few; it changes the plan only.
     """
     shared = [c for c in incoming.columns if c in existing.columns and c not in keys]
     fresh = keep_latest(incoming, keys, cursor).alias("i")
     # Only stored rows of incoming keys are of interest. The semi join lets Spark
-    # broadcast the keys of a small batch instead of shuffling the stored table.
-    stored = known_rows(existing, incoming, keys).withColumn("_stored", F.lit(True)).alias("e")
+    # broadcast the keys of a small batch instead of shuffling the stored table;
+    # a large batch would only be read once more for it.
+    stored = known_rows(existing, incoming, keys) if few else existing
+    stored = stored.withColumn("_stored", F.lit(True)).alias("e")
     on = F.lit(True)
     for key in keys:
         on = on & (F.col(f"i.{key}") == F.col(f"e.{key}"))

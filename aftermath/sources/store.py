@@ -250,30 +250,36 @@ class KeyedStore:
     def _at(self, state: Snapshot, only: list[int] | None = None, opened: set[tuple[int, str]] | None = None) -> DataFrame | None:
         """The rows of some buckets: those of the base whose key no delta has, and of each such key the newest.
 
+        A folder has a key once, so the only delta of a bucket is read as it is.
         ``opened`` names the (bucket, folder) to open; the others must not matter to the caller.
         """
         if state.layout is None:
             return None
         read = self.spark.read.schema(state.layout)
-        plain, based, changes = [], [], []
+        plain, once, often = [], ([], []), ([], [])  # bases alone; bases and deltas of buckets with one, and with several deltas
         for bucket, folders in state.buckets.items():
             if only is not None and bucket not in only:
                 continue
             base, *later = [f"{self.root}/data/{f}/bucket={bucket}" if opened is None or (bucket, f) in opened else None for f in folders]
             later = [path for path in later if path]
-            changes += later
+            bases, deltas = often if len(later) > 1 else once
+            deltas += later
             if base:
-                (based if later else plain).append(base)
+                (bases if later else plain).append(base)
         parts = [read.parquet(*plain)] if plain else []
-        if changes:
-            # the folder of a delta begins with a number that grows from one to the next
-            deltas = read.parquet(*changes)
-            deltas = deltas.withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), r"/data/([^/]+)/", 1))
-            deltas = dealt(deltas, [self.key], state.rows(only))
-            newest = keep_first(deltas, [self.key], [F.desc("_folder")]).drop("_folder").select(*state.layout.names)
+        for bases, deltas in (once, often):
+            if not deltas:
+                continue
+            newest = read.parquet(*deltas)
+            if deltas is often[1]:
+                # the folder of a delta begins with a number that grows from one to the next
+                newest = newest.withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), r"/data/([^/]+)/", 1))
+                newest = dealt(newest, [self.key], state.rows(only))
+                newest = keep_first(newest, [self.key], [F.desc("_folder")]).drop("_folder").select(*state.layout.names)
             parts.append(newest)
-            if based:
-                parts.append(merging.new_rows(read.parquet(*based), newest, [self.key]).select(*state.layout.names))
+            if bases:
+                keys = dealt(newest, [self.key], state.rows(only)) if deltas is once[1] else newest
+                parts.append(merging.new_rows(read.parquet(*bases), keys, [self.key]).select(*state.layout.names))
         return merging.union_by_name(*parts) if parts else self.spark.createDataFrame([], state.layout)
 
     def _statistics(self, state: Snapshot, only: list[int] | None = None) -> tuple[set[tuple[int, str]], DataFrame | None]:
@@ -291,8 +297,12 @@ class KeyedStore:
         keys = self.bucketed(rows.where(F.col(self.key).isNotNull()).select(self.key))
         return statistics.key_bitmaps(keys, self.key, F.count(F.lit(1)).alias("n"))
 
-    def _holding(self, state: Snapshot, sought: DataFrame, only: list[int] | None = None) -> set[tuple[int, str]] | None:
-        """The (bucket, folder) that may have a key of ``sought``: at most one per live file is collected."""
+    def _holding(self, state: Snapshot, rows: DataFrame, only: list[int] | None = None) -> set[tuple[int, str]] | None:
+        """The (bucket, folder) that may have a key of ``rows``: at most one per live file is collected."""
+        return self._meeting(state, self._sought(rows), only)
+
+    def _meeting(self, state: Snapshot, sought: DataFrame, only: list[int] | None = None) -> set[tuple[int, str]] | None:
+        """What ``_holding`` gives, from the bitmaps of the keys."""
         opened, found = self._statistics(state, only)
         if found is None:
             return None
@@ -301,7 +311,7 @@ class KeyedStore:
     def _stored_keys(self, state: Snapshot, rows: DataFrame) -> DataFrame:
         """The distinct keys of the files that may have one of ``rows``, dealt out as both ask for."""
         sought = durable(self._sought(rows))
-        stored = self._at(state, None, self._holding(state, sought)).select(self.key)
+        stored = self._at(state, None, self._meeting(state, sought)).select(self.key)
         many = sought.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head().n + state.rows()
         return dealt(stored, [self.key], many).distinct()
 
@@ -361,7 +371,7 @@ class KeyedStore:
             after = after.unionByName(whole)
         after = durable(after)
         touched = [*added, *replaced]
-        before = merging.known_rows(self._at(shape, touched, self._holding(shape, self._sought(after), touched)), after, [self.key])
+        before = merging.known_rows(self._at(shape, touched, self._holding(shape, after, touched)), after, [self.key])
         return after.withColumn("change", F.lit("after")).unionByName(before.withColumn("change", F.lit("before")))
 
     def stored_sizes(self) -> tuple[int, float]:
@@ -488,10 +498,10 @@ class KeyedStore:
         if arrival is not None:
             rows = merging.keep_latest(rows, [self.key], self.cursor, [arrival]).drop(arrival)
         few = state.layout is not None and received <= FEW_KEYS * len(wanted)
-        stored = self._at(state, wanted, self._holding(state, self._sought(rows), wanted) if few else None)
+        stored = self._at(state, wanted, self._holding(state, rows, wanted) if few else None)
         if stored is None:
             stored = self.spark.createDataFrame([], rows.schema)
-        return durable(self.bucketed(merging.classify(stored, rows, [self.key], self.cursor)))
+        return durable(self.bucketed(merging.classify(stored, rows, [self.key], self.cursor, few)))
 
     def _tally(self, judged: DataFrame) -> list:
         """At most four rows per bucket: one for each outcome, with the number of keys and the highest (cursor, key)."""

@@ -150,3 +150,33 @@ def test_wide_rows_are_dealt_out_over_more_tasks(spark, monkeypatch):
     assert session.dealt(narrow, ["id"], 1000).rdd.getNumPartitions() == 10
     assert session.dealt(wide, ["id"], 1000).rdd.getNumPartitions() >= 60
     assert session.dealt(wide, ["id"], 10).rdd.getNumPartitions() == wide.rdd.getNumPartitions()
+
+
+def test_the_only_delta_of_a_bucket_is_read_without_ranking_its_rows(spark, tmp_path):
+    store = opened(spark, tmp_path)
+    store.upsert(rows(spark, 0, 1_000, "a"))
+    store.upsert(rows(spark, 500, 1_500, "b"))
+    got = store.read()
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    assert contents(got) == contents(rows(spark, 0, 500, "a").unionByName(rows(spark, 500, 1_500, "b")))
+    # buckets with one delta beside such with several
+    store.upsert(rows(spark, 700, 703, "c"))
+    assert {len(f) for f in store.log.snapshot().buckets.values()} == {2, 3}
+    want = rows(spark, 0, 500, "a").unionByName(rows(spark, 500, 1_500, "b").where("k NOT BETWEEN 700 AND 702"))
+    assert contents(store.read()) == contents(want.unionByName(rows(spark, 700, 703, "c")))
+
+
+def test_a_large_batch_is_not_read_once_more_to_choose_stored_rows(spark, tmp_path, monkeypatch):
+    store = opened(spark, tmp_path)
+    store.upsert(rows(spark, 0, 1_000, "b"))
+    chosen = []
+    honest = stores.merging.known_rows
+    monkeypatch.setattr(stores.merging, "known_rows", lambda *a: chosen.append(1) or honest(*a))
+    store.upsert(rows(spark, 0, 10, "a"))
+    assert chosen
+    chosen.clear()
+    monkeypatch.setattr(stores, "FEW_KEYS", 10)
+    batch = rows(spark, 900, 950, "a").unionByName(rows(spark, 950, 1_000, "b")).unionByName(rows(spark, 1_000, 1_200, "c"))
+    report = store.upsert(batch.unionByName(rows(spark, 0, 100, "d")))
+    assert not chosen
+    assert (report["stale"], report["unchanged"], report["new"], report["updated"]) == (50, 50, 200, 100)
