@@ -100,6 +100,31 @@ def test_near_duplicates_in_a_band_of_many_texts(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == _brute_force(rows)
 
 
+def _nearly_alike(texts: int, pairs: int) -> list:
+    """Texts of similarity 0.78 to each other; each of the first ones has a partner at 0.802, which min-hashes hardly tell from the others."""
+    rnd = random.Random(8)
+    base, rows = [f"v{rnd.random()}" for _ in range(196)], []
+    for i in range(texts):
+        own = [f"w{i} {k}".replace(" ", "x") for k in range(27)]
+        if pairs <= i < 2 * pairs:
+            own[:3] = [f"w{i - pairs}x{k}" for k in range(3)]
+        rows.append((i, " ".join(base + own)))
+    return rows
+
+
+def test_alike_texts_among_many_nearly_alike_ones_are_grouped(spark, monkeypatch):
+    rows = _nearly_alike(300, 40)
+    rows += [(1000 + i, " ".join([f"n{i}" if k == i else w for k, w in enumerate(rows[299][1].split())])) for i in range(60)]
+    want = _brute_force(rows)
+    assert sum(i != root for i, root in want.items()) == 40 + 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.unique(spark, docs.withColumn("source", F.lit("a")), FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+    # the same in blocks of a few, of which one component fills several
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()} == want
+
+
 def test_forest_joins_each_likely_group_once():
     rnd = np.random.default_rng(4)
     base = rnd.integers(0, 256, (3, 128), dtype=np.uint8)
